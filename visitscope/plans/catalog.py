@@ -43,7 +43,7 @@ from ..operators.profile import attach_profile, match_report
 from ..operators.rollup import list_text, session_core, session_records, session_records_text
 from ..operators.sample import sample_row
 from ..operators.stats import step_band, visit_band
-from ..sources.testdata import TestDataSource
+from ..sources.testdata import GeneratedSource
 from .job import filtered_sessions, session_stats, session_stats_packed
 from .params import find_task, parse_task_params
 
@@ -73,8 +73,8 @@ STEP_METRICS = [b[0] for b in STEP_BANDS]
 UNPADDED_TIME = "yyyy-MM-dd H:mm:ss"
 
 
-def _src(spark: SparkSession, sf_dir: str) -> TestDataSource:
-    return TestDataSource(spark, sf_dir)
+def _src(spark: SparkSession, sf_dir: str) -> GeneratedSource:
+    return GeneratedSource(spark, sf_dir)
 
 
 def _window_actions(spark, sf_dir) -> DataFrame:

@@ -7,9 +7,9 @@ from .tables import (
     normalize_actions,
     register_views,
 )
-from .testdata import TestDataSource, actions_from_events
+from .testdata import GeneratedSource, actions_from_events
 
 __all__ = [
-    "CatalogSource", "FrameSource", "TestDataSource", "actions_from_events",
+    "CatalogSource", "FrameSource", "GeneratedSource", "actions_from_events",
     "filter_date_range", "normalize_actions", "register_views",
 ]

@@ -45,7 +45,7 @@ def normalize_actions(df: DataFrame) -> DataFrame:
     types = dict(df.dtypes)
     date_col = F.col("date")
     if types.get("date") == "string":
-        date_col = F.try_to_date(F.col("date"), F.lit("yyyy-MM-dd"))
+        date_col = F.try_to_date(F.col("date"), "yyyy-MM-dd")
     time_col = F.col("action_time")
     if types.get("action_time") == "string":
         time_col = parse_time("action_time")

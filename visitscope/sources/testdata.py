@@ -71,7 +71,7 @@ def _customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @dataclass
-class TestDataSource:
+class GeneratedSource:
     """Session tables derived from the generated tables in `sf_dir`."""
 
     spark: SparkSession
