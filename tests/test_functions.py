@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -116,7 +117,9 @@ def test_round_half_up_binary_ties(spark):
     assert one(spark, round_half_up(v, 1), -0.25, "double") == -0.3
     assert one(spark, round_half_up(v, 0), 2.5, "double") == 3.0
     assert one(spark, round_half_up(v, 2), None, "double") is None
-    assert one(spark, round_half_up(v, 2), float("nan"), "double") is None
+    assert math.isnan(one(spark, round_half_up(v, 2), float("nan"), "double"))
+    assert one(spark, round_half_up(v, 2), 1e300, "double") == 1e300
+    assert one(spark, round_half_up(v, 12), 0.1234567890125, "double") == _exact_half_up(0.1234567890125, 12)
 
 
 @settings(max_examples=60, deadline=None)
@@ -131,3 +134,22 @@ def test_round_half_up_matches_exact_decimal(spark, values, scale):
 def test_round_half_up_rejects_bad_scale():
     with pytest.raises(ValueError):
         round_half_up("v", 16)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.floats(min_value=-1000, max_value=1000, allow_nan=False), min_size=1, max_size=40),
+       st.integers(min_value=5, max_value=15))
+def test_round_half_up_large_scales(spark, values, scale):
+    df = spark.createDataFrame([(x,) for x in values], "v double")
+    got = [r["r"] for r in df.select(round_half_up("v", scale).alias("r")).collect()]
+    assert got == [_exact_half_up(x, scale) for x in values]
+
+
+def test_round_half_up_decimal_ties_from_text(spark):
+    # values whose shortest text is a tie: the stored double decides
+    texts = ["0.125", "0.375", "1.005", "1.015", "1.025", "2.675", "8.345", "123456.785", "0.0005"]
+    values = [float(t) for t in texts]
+    df = spark.createDataFrame([(x,) for x in values], "v double")
+    for scale in (0, 1, 2, 3):
+        got = [r["r"] for r in df.select(round_half_up("v", scale).alias("r")).collect()]
+        assert got == [_exact_half_up(x, scale) for x in values], scale

@@ -57,26 +57,36 @@ def round_half_up(c: Column | str, scale: int) -> Column:
 
     `1.005` is stored as 1.00499999999999989... and so gives 1.0, and
     `2.675` gives 2.67 -- unlike `F.round`, which rounds the shortest decimal
-    text of the double (1.01, 2.68). The product `|x| * 10^scale` is split
-    into its rounded value and exact error (Dekker's two-product, plain double
-    arithmetic, so it stays inside whole-stage codegen); the half-way test
-    is made on the pair, which is exact. Above 2^52 the double grid is
-    coarser than the decimal grid and `F.round` gives the same answer.
+    text of the double (1.01, 2.68). With p = |x| * 10^scale rounded to a
+    double, the decision is plain unless p is exactly a half-integer; then
+    the sign of the rounding error of p decides, and that error is computed
+    exactly by Dekker's two-product in plain double arithmetic (so the
+    expression stays small and inside whole-stage codegen). From 2^52 on the
+    double grid is no finer than the decimal grid and x itself is the answer.
+    Null gives null; NaN and infinities pass through.
     """
     if not 0 <= scale <= 15:
         raise ValueError("scale must be within 0..15")
     x = _col(c).cast("double")
-    a = F.abs(x)
-    m = F.lit(float(10 ** scale))
+    # Work on a non-null value so the generated code carries no null checks
+    # (keeps several of these columns inside one JIT-compilable method).
+    a = F.abs(F.coalesce(x, F.lit(0.0)))
+    m_value = float(10 ** scale)
+    m = F.lit(m_value)
     p = a * m
+    n = F.floor(p).cast("double")
+    frac = p - n
     a_hi = _split_hi(a)
     a_lo = a - a_hi
-    m_hi = _split_hi(m)
-    m_lo = m - m_hi
-    err = ((a_hi * m_hi - p) + a_hi * m_lo + a_lo * m_hi) + a_lo * m_lo
-    n = p - (p % F.lit(1.0))  # floor of a non-negative double, exact
-    half_gap = (p - n) - F.lit(0.5)
-    k = F.when(half_gap >= -err, n + F.lit(1.0)).otherwise(n)
-    magnitude = F.when(p < F.lit(_EXACT_LIMIT), k / m).otherwise(F.round(a, scale))
-    finite = ~F.isnan(x) & (a != F.lit(float("inf")))
-    return F.when(finite, F.when(x < 0, -magnitude).otherwise(magnitude))
+    if m_value < 2.0 ** 26:
+        # m has at most 26 significant bits: both partial products are exact
+        err = (a_hi * m - p) + a_lo * m
+    else:
+        m_hi = m_value * _SPLIT - (m_value * _SPLIT - m_value)
+        m_lo = m_value - m_hi
+        err = ((a_hi * F.lit(m_hi) - p) + a_hi * F.lit(m_lo) + a_lo * F.lit(m_hi)) + a_lo * F.lit(m_lo)
+    up = (frac > F.lit(0.5)) | ((frac == F.lit(0.5)) & (err >= F.lit(0.0)))
+    k = n + up.cast("double")
+    magnitude = F.when(p < F.lit(_EXACT_LIMIT), k / m).otherwise(a)
+    # the sign of x restores the sign (and gives null for null input)
+    return magnitude * F.signum(x)

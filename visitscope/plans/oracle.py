@@ -192,20 +192,17 @@ def _round_sql(x: str, scale: int) -> str:
         return f"CAST({float(v)!r} AS DOUBLE)"
 
     m = d(10 ** scale)
-    a = f"abs({x})"
+    a = f"abs(coalesce({x}, {d(0.0)}))"
     p = f"({a} * {m})"
     split = d(134217729.0)
-
-    def hi(v: str) -> str:
-        return f"(({v} * {split}) - (({v} * {split}) - {v}))"
-
-    a_hi, m_hi = hi(a), hi(m)
-    a_lo, m_lo = f"({a} - {a_hi})", f"({m} - {m_hi})"
-    err = f"((({a_hi} * {m_hi} - {p}) + {a_hi} * {m_lo} + {a_lo} * {m_hi}) + {a_lo} * {m_lo})"
-    n = f"({p} - ({p} % {d(1.0)}))"
-    k = f"(CASE WHEN (({p} - {n}) - {d(0.5)}) >= -{err} THEN {n} + {d(1.0)} ELSE {n} END)"
-    mag = f"(CASE WHEN {p} < {d(2.0 ** 52)} THEN {k} / {m} ELSE round({a}, {scale}) END)"
-    return f"(CASE WHEN {x} < 0 THEN -{mag} ELSE {mag} END)"
+    a_hi = f"(({a} * {split}) - (({a} * {split}) - {a}))"
+    a_lo = f"({a} - {a_hi})"
+    err = f"(({a_hi} * {m} - {p}) + {a_lo} * {m})"
+    n = f"floor({p})"
+    frac = f"({p} - {n})"
+    up = f"(CASE WHEN {frac} > {d(0.5)} OR ({frac} = {d(0.5)} AND {err} >= {d(0.0)}) THEN {d(1.0)} ELSE {d(0.0)} END)"
+    mag = f"(CASE WHEN {p} < {d(2.0 ** 52)} THEN ({n} + {up}) / {m} ELSE {a} END)"
+    return f"({mag} * sign({x}))"
 
 
 _REV = "(l_extendedprice * (CAST(1.0 AS DOUBLE) - l_discount))"
