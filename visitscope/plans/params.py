@@ -35,12 +35,18 @@ assert tuple(PARAM_COLUMNS) == TASK_PARAM_FIELDS
 
 
 def parse_task_params(tasks: DataFrame) -> DataFrame:
-    """One row per task: task_id, task_name and each parameter as text or null."""
-    p = F.from_json(F.col("task_param"), TASK_PARAM_DDL)
-    return tasks.select(
+    """One row per task: task_id, task_name and each parameter as text or null.
+
+    The JSON is parsed once per row: the parsed struct is unpacked by an
+    `inline` generator, which keeps the optimizer from splitting the parse
+    into one single-field `from_json` per parameter.
+    """
+    parsed = F.from_json(F.col("task_param"), TASK_PARAM_DDL)
+    unpacked = tasks.select("task_id", "task_name", F.inline(F.array(parsed)))
+    return unpacked.select(
         "task_id",
         "task_name",
-        *[F.nullif(F.get(p[field], 0), F.lit("")).alias(col) for field, col in PARAM_COLUMNS.items()],
+        *[F.nullif(F.get(F.col(field), 0), F.lit("")).alias(col) for field, col in PARAM_COLUMNS.items()],
     )
 
 
