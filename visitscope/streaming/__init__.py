@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed job is a batch job only: it declares streaming and Kafka
+dependencies but no code reads a stream, keeps state or handles late data,
+so there is no streaming operator to rebuild here. A streaming form of
+the session roll-up would be an addition, not a rebuild, and is left out.
+"""
