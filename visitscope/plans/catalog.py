@@ -44,13 +44,14 @@ from ..operators.rollup import list_text, session_core, session_records, session
 from ..operators.sample import sample_row
 from ..operators.stats import step_band, visit_band
 from ..sources.testdata import GeneratedSource
-from .job import filtered_sessions, session_stats, session_stats_packed
+from .job import analyze_task, filtered_sessions, session_stats, session_stats_packed
 from .params import find_task, parse_task_params
 
 # Analysis window and filter values of the registered queries (task parameters).
 START_DATE = "2024-01-05"
 END_DATE = "2024-01-11"
 LOOKUP_TASK_ID = 42
+TASK_STAT_ID = 12
 FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
 FIRST_NATIONS = tuple(sorted(f"NATION_{i}" for i in range(25))[:15])
 KEYWORDS = ("kw1", "kw2", "kw3")
@@ -122,6 +123,16 @@ def table_sample_row(spark, sf_dir):
     return sample_row(_action_text(_all_actions(spark, sf_dir)))
 
 
+def user_info_sample_row(spark, sf_dir):
+    """L1: one (repeatable) row of the profile table."""
+    return sample_row(_src(spark, sf_dir).users())
+
+
+def product_info_sample_row(spark, sf_dir):
+    """L1: one (repeatable) row of the product table (S4 view over `part`)."""
+    return sample_row(_src(spark, sf_dir).products())
+
+
 # ---------------- session roll-up ----------------
 
 def session_aggregate(spark, sf_dir):
@@ -211,6 +222,12 @@ def session_stat_packed(spark, sf_dir):
     return session_stats_packed(_src(spark, sf_dir), START_DATE, END_DATE)
 
 
+def task_session_stat(spark, sf_dir):
+    """Entry 1 end to end: look a stored task up by id, parse it, run its filters and counters."""
+    src = _src(spark, sf_dir)
+    return analyze_task(src, src.tasks(), TASK_STAT_ID)
+
+
 # ---------------- column functions over the action table ----------------
 
 def time_parse(spark, sf_dir):
@@ -332,6 +349,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "task_lookup": task_lookup,
     "task_params": task_params,
     "table_sample_row": table_sample_row,
+    "user_info_sample_row": user_info_sample_row,
+    "product_info_sample_row": product_info_sample_row,
     "session_aggregate": session_aggregate,
     "session_keywords": session_keywords,
     "session_categories": session_categories,
@@ -345,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_length_bands": visit_length_bands,
     "step_length_bands": step_length_bands,
     "session_stat_packed": session_stat_packed,
+    "task_session_stat": task_session_stat,
     "time_parse": time_parse,
     "time_compare": time_compare,
     "time_diff_seconds": time_diff_seconds,

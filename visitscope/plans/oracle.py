@@ -17,14 +17,18 @@ from .catalog import (
     KEYWORDS,
     LOOKUP_TASK_ID,
     START_DATE,
+    TASK_STAT_ID,
 )
 
 _HI_EXCL = "2024-01-12"  # day after END_DATE
 
 
-def _ev(window: bool) -> str:
-    where = (f"WHERE ts >= TIMESTAMP '{START_DATE}' AND ts < TIMESTAMP '{_HI_EXCL}'"
-             if window else "")
+def _ev(window: bool | str) -> str:
+    if isinstance(window, str):
+        where = window
+    else:
+        where = (f"WHERE ts >= TIMESTAMP '{START_DATE}' AND ts < TIMESTAMP '{_HI_EXCL}'"
+                 if window else "")
     return f"""ev AS (
   SELECT event_id, user_id, event_type, date_trunc('second', ts) AS t,
          TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
@@ -107,7 +111,7 @@ def _band_case(col: str, bands) -> str:
     return "CASE " + " ".join(parts) + " END"
 
 
-def _stats_sql(where: str, metrics: list[str] | None = None) -> str:
+def _stats_sql(where: str, metrics: list[str] | None = None, prefix: str | None = None) -> str:
     rows = [(SESSION_COUNT, "TRUE")]
     for name, lo, hi in VISIT_BANDS:
         rows.append((name, f"visit_length >= {lo}" if hi is None else f"visit_length BETWEEN {lo} AND {hi}"))
@@ -118,7 +122,7 @@ def _stats_sql(where: str, metrics: list[str] | None = None) -> str:
     body = "\nUNION ALL\n".join(
         f"SELECT '{name}' AS metric, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS cnt FROM passed"
         for name, cond in rows)
-    return (_window_sessions()
+    return ((prefix or _window_sessions())
             + f", passed AS (SELECT st.* , ui.age, ui.professional, ui.city, ui.sex "
               f"FROM st JOIN ui USING (user_id) WHERE {where})\n" + body)
 
@@ -171,17 +175,14 @@ _TASKS = """tp AS (
   SELECT c_custkey AS task_id, 'sessions like ' || c_name AS task_name,
          strftime(DATE '2024-01-01' + CAST(c_custkey % 21 AS INTEGER), '%Y-%m-%d') AS start_date,
          strftime(DATE '2024-01-01' + CAST(c_custkey % 21 AS INTEGER) + 6, '%Y-%m-%d') AS end_date,
-         CAST(greatest(CAST(c_custkey % 60 AS INTEGER) - 10, 0) AS VARCHAR) AS start_age,
-         CASE WHEN c_acctbal >= 0 THEN CAST(CAST(c_custkey % 60 AS INTEGER) + 10 AS VARCHAR) END AS end_age,
+         CAST(greatest(CAST(c_custkey % 60 AS INTEGER) - 15, 0) AS VARCHAR) AS start_age,
+         CASE WHEN c_acctbal >= 0 THEN CAST(CAST(c_custkey % 60 AS INTEGER) + 15 AS VARCHAR) END AS end_age,
          c_mktsegment AS professionals,
-         n_name AS cities,
+         CASE WHEN c_acctbal > 5000 THEN n_name END AS cities,
          CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL
               WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex,
-         CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'kw' || CAST(c_custkey % 10 AS VARCHAR) END AS keywords,
-         CASE WHEN c_mktsegment <> 'BUILDING' THEN
-              CAST((c_nationkey + 0) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 25) % 100 AS VARCHAR) || ',' ||
-              CAST((c_nationkey + 50) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 75) % 100 AS VARCHAR)
-         END AS category_ids
+         CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'kw' || CAST((c_custkey + 0) % 10 AS VARCHAR) || ',' || 'kw' || CAST((c_custkey + 3) % 10 AS VARCHAR) || ',' || 'kw' || CAST((c_custkey + 6) % 10 AS VARCHAR) END AS keywords,
+         CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST((c_nationkey + 0) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 10) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 20) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 30) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 40) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 50) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 60) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 70) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 80) % 100 AS VARCHAR) || ',' || CAST((c_nationkey + 90) % 100 AS VARCHAR) END AS category_ids
   FROM customer JOIN nation ON c_nationkey = n_nationkey
 )"""
 
@@ -220,6 +221,26 @@ def _stat_where_none() -> str:
     return "TRUE"
 
 
+def _task_stat_sql(task_id: int) -> str:
+    def param(name: str) -> str:
+        return f"(SELECT {name} FROM tp WHERE task_id = {task_id})"
+
+    window = (f"WHERE ts >= CAST({param('start_date')} AS TIMESTAMP) "
+              f"AND ts < CAST({param('end_date')} AS TIMESTAMP) + INTERVAL 1 DAY")
+    prefix = _with(_TASKS, _ev(window), _UVA, _SESS, _SESS_TEXT, _UI)
+    where = " AND ".join([
+        f"({param('start_age')} IS NULL OR {param('end_age')} IS NULL OR age BETWEEN "
+        f"CAST({param('start_age')} AS INTEGER) AND CAST({param('end_age')} AS INTEGER))",
+        f"({param('professionals')} IS NULL OR list_contains(string_split({param('professionals')}, ','), professional))",
+        f"({param('cities')} IS NULL OR list_contains(string_split({param('cities')}, ','), city))",
+        f"({param('sex')} IS NULL OR sex = {param('sex')})",
+        f"({param('keywords')} IS NULL OR list_has_any(kw_list, string_split({param('keywords')}, ',')))",
+        f"({param('category_ids')} IS NULL OR list_has_any(list_transform(cat_list, lambda c: CAST(c AS VARCHAR)), "
+        f"string_split({param('category_ids')}, ',')))",
+    ])
+    return _stats_sql(where, prefix=prefix)
+
+
 ORACLE: dict[str, str] = {
     "action_date_range": _with(_ev(True), _UVA) + _ACTION_TEXT,
     "user_info_scan": _with(_UI) + "SELECT user_id, username, name, age, professional, city, sex FROM ui",
@@ -230,6 +251,13 @@ ORACLE: dict[str, str] = {
         "action_time NULLS FIRST, search_keyword NULLS FIRST, click_category_id NULLS FIRST, "
         "click_product_id NULLS FIRST, order_category_ids NULLS FIRST, order_product_ids NULLS FIRST, "
         "pay_category_ids NULLS FIRST, pay_product_ids NULLS FIRST, city_id NULLS FIRST LIMIT 1",
+    "user_info_sample_row": _with(_UI) + "SELECT user_id, username, name, age, professional, city, sex FROM ui "
+        "ORDER BY user_id NULLS FIRST, username NULLS FIRST, name NULLS FIRST, age NULLS FIRST, "
+        "professional NULLS FIRST, city NULLS FIRST, sex NULLS FIRST LIMIT 1",
+    "product_info_sample_row": "SELECT * FROM (SELECT p_partkey AS product_id, p_name AS product_name, "
+        "CASE WHEN p_size IS NULL THEN '{}' ELSE '{\"product_status\":' || CAST(p_size % 2 AS VARCHAR) || '}' END "
+        "AS extend_info FROM part) x ORDER BY product_id NULLS FIRST, product_name NULLS FIRST, "
+        "extend_info NULLS FIRST LIMIT 1",
     "session_aggregate": _window_sessions()
         + "SELECT session_id, user_id, search_keywords, click_category_ids, visit_length, step_length, start_time FROM st",
     "session_keywords": _window_sessions()
@@ -254,6 +282,7 @@ ORACLE: dict[str, str] = {
     "visit_length_bands": _stats_sql("TRUE", [b[0] for b in VISIT_BANDS]),
     "step_length_bands": _stats_sql("TRUE", [b[0] for b in STEP_BANDS]),
     "session_stat_packed": _packed_stat_sql(),
+    "task_session_stat": _task_stat_sql(TASK_STAT_ID),
     "time_parse": _all_actions()
         + "SELECT strftime(action_time, '%Y-%m-%d %-H:%M:%S') AS action_time_text, "
           "CAST(epoch(action_time) AS BIGINT) AS epoch_seconds, "

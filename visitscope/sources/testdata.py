@@ -124,12 +124,13 @@ class GeneratedSource:
     def tasks(self) -> DataFrame:
         """One stored analysis per customer, parameters as JSON arrays of text.
 
-        The customer's own profile picks the filters: an age band around
-        its age, its segment, its nation, its sex, one keyword and four
-        category ids. Some fields are left out on purpose (a missing field
-        means "no filter"): segment AUTOMOBILE asks for no keywords,
-        BUILDING for no categories, a negative balance gives only a start
-        age (one-sided, so ignored), and MACHINERY sends an empty sex.
+        The customer's own profile picks the filters: a 7-day window, an age
+        band of 15 years either side of its age, its segment, its sex, three
+        keywords and ten category ids; its nation is asked for only when the
+        balance is over 5000. Some fields are left out on purpose (a missing
+        field means "no filter"): segment AUTOMOBILE asks for no keywords,
+        BUILDING for no categories, a negative balance gives only a start age
+        (one-sided, so ignored), and MACHINERY sends an empty sex.
         """
         cn = _customer_profile(self.spark, self.sf_dir)
         key = F.col("c_custkey")
@@ -141,21 +142,22 @@ class GeneratedSource:
         def one(c: Column) -> Column:
             return F.array(c.cast("string"))
 
+        keywords = F.concat_ws(",", *[F.concat(F.lit("kw"), ((key + step) % 10).cast("string"))
+                                      for step in (0, 3, 6)])
+        categories = F.concat_ws(",", *[((F.col("c_nationkey") + step) % 100).cast("string")
+                                        for step in range(0, 100, 10)])
         param = F.struct(
             one(F.date_format(start_day, "yyyy-MM-dd")).alias("startDate"),
             one(F.date_format(end_day, "yyyy-MM-dd")).alias("endDate"),
-            one(F.greatest(age - 10, F.lit(0))).alias("startAge"),
-            F.when(F.col("c_acctbal") >= 0, one(age + 10)).alias("endAge"),
+            one(F.greatest(age - 15, F.lit(0))).alias("startAge"),
+            F.when(F.col("c_acctbal") >= 0, one(age + 15)).alias("endAge"),
             one(seg).alias("professionals"),
-            one(F.col("n_name")).alias("cities"),
+            F.when(F.col("c_acctbal") > 5000, one(F.col("n_name"))).alias("cities"),
             F.when(seg == "MACHINERY", one(F.lit("")))
             .otherwise(one(F.when(key % 2 == 0, F.lit("male")).otherwise(F.lit("female"))))
             .alias("sex"),
-            F.when(seg != "AUTOMOBILE", one(F.concat(F.lit("kw"), (key % 10).cast("string"))))
-            .alias("keywords"),
-            F.when(seg != "BUILDING", one(F.concat_ws(
-                ",", *[((F.col("c_nationkey") + step) % 100).cast("string") for step in (0, 25, 50, 75)]
-            ))).alias("categoryIds"),
+            F.when(seg != "AUTOMOBILE", one(keywords)).alias("keywords"),
+            F.when(seg != "BUILDING", one(categories)).alias("categoryIds"),
         )
         return cn.select(
             key.alias("task_id"),
