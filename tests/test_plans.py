@@ -56,9 +56,15 @@ def test_no_python_udf_in_any_query(spark):
 
 
 def test_list_building_spreads_hot_sessions(spark):
-    # distinct (session, value) pairs are shuffled on both columns before the
-    # per-session collect
-    df = catalog.session_keywords(spark, SF001)
-    text = formatted(df)
+    # one scan; first exchange on (session, keyword, category), then on session;
+    # no join between separately built parts
+    for name in ("session_keywords", "session_categories", "session_aggregate"):
+        _check_two_levels(formatted(catalog.QUERIES[name](spark, SF001)))
+
+
+def _check_two_levels(text: str) -> None:
     assert "hashpartitioning(session_id#" in text
-    assert text.count("hashpartitioning(session_id") >= 2
+    import re
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 1
+    assert "Join" not in text
+    assert re.search(r"hashpartitioning\(session_id#\d+, keyword#\d+, category#\d+L?, ", text)

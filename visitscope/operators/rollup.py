@@ -5,10 +5,10 @@ Plan shape, and why it holds when one session owns a large share of rows:
 * `session_core` is a single `groupBy(session_id)` of mergeable aggregates
   (min / max / count / bool_or). Spark runs a partial aggregate before the
   shuffle, so a hot session leaves each map task as one small row.
-* `session_lists` builds the distinct keyword and category lists. The
-  distinct step is keyed by (session, value), so the values of a hot
-  session spread across all reducers; only the distinct values of a
-  session meet in one task, never its action rows.
+* `session_records` also builds the distinct keyword and category lists.
+  Its first level is keyed by (session, keyword, category), so the values
+  of a hot session spread across all reducers; only the distinct values
+  of a session meet in one task, never its action rows.
 """
 
 from __future__ import annotations
@@ -44,46 +44,48 @@ def session_core(actions: DataFrame, spec: FilterSpec | None = None) -> DataFram
     return rolled.withColumn("visit_length", seconds_between("start_ts", "end_ts"))
 
 
-def session_lists(actions: DataFrame) -> DataFrame:
-    """Distinct non-empty keywords and distinct non-null category ids per session (A4, A5).
-
-    Both lists are sorted, so the result does not depend on row order.
-    Sessions with neither have no row here.
-    """
-    entries = F.array(
-        F.struct(blank_to_null("search_keyword").alias("keyword"),
-                 F.lit(None).cast("bigint").alias("category")),
-        F.struct(F.lit(None).cast("string").alias("keyword"),
-                 F.col("click_category_id").alias("category")),
-    )
-    pairs = (
-        actions.select("session_id", F.inline(entries))
-        .where(F.col("keyword").isNotNull() | F.col("category").isNotNull())
-        .distinct()
-    )
-    return pairs.groupBy("session_id").agg(
-        F.sort_array(F.collect_list("keyword")).alias("search_keywords"),
-        F.sort_array(F.collect_list("category")).alias("click_category_ids"),
-    )
-
-
 def session_records(actions: DataFrame) -> DataFrame:
-    """Full session record with typed lists.
+    """Full session record with typed, sorted, distinct lists.
 
     Columns: session_id, user_id, search_keywords array<string>,
     click_category_ids array<bigint>, visit_length, step_length,
-    start_ts, end_ts. Both inputs of the join are already hash-partitioned
-    by session id, so the join adds no exchange of its own.
+    start_ts, end_ts.
+
+    Two aggregation levels, one scan, no join: first by (session, keyword,
+    category) -- the rows of a hot session spread over all reducers by their
+    values, and rows without either value collapse map-side -- then by
+    session, merging the per-value minima, maxima and counts and collecting
+    the distinct values. Only distinct values of one session ever meet in
+    one task.
     """
-    core = session_core(actions)
-    lists = session_lists(actions)
-    joined = core.join(lists, "session_id", "left")
-    return joined.select(
+    keyed = actions.select(
+        "session_id", "user_id", "action_time",
+        blank_to_null("search_keyword").alias("keyword"),
+        F.col("click_category_id").alias("category"),
+    )
+    per_value = keyed.groupBy("session_id", "keyword", "category").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("action_time").alias("start_ts"),
+        F.max("action_time").alias("end_ts"),
+        F.count(F.lit(1)).alias("steps"),
+    )
+    # collect_list (not collect_set): a duplicate-sensitive aggregate keeps the
+    # optimizer from dropping the first level as redundant, which would send
+    # every partial list of a hot session to one reducer.
+    rolled = per_value.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.sort_array(F.array_distinct(F.collect_list("keyword"))).alias("search_keywords"),
+        F.sort_array(F.array_distinct(F.collect_list("category"))).alias("click_category_ids"),
+        F.min("start_ts").alias("start_ts"),
+        F.max("end_ts").alias("end_ts"),
+        F.sum("steps").alias("step_length"),
+    )
+    return rolled.select(
         "session_id",
         "user_id",
-        F.coalesce("search_keywords", F.array().cast("array<string>")).alias("search_keywords"),
-        F.coalesce("click_category_ids", F.array().cast("array<bigint>")).alias("click_category_ids"),
-        "visit_length",
+        "search_keywords",
+        "click_category_ids",
+        seconds_between("start_ts", "end_ts").alias("visit_length"),
         "step_length",
         "start_ts",
         "end_ts",

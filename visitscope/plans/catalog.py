@@ -119,8 +119,13 @@ def task_params(spark, sf_dir):
 
 
 def table_sample_row(spark, sf_dir):
-    """L1: one (repeatable) row of the action table."""
-    return sample_row(_action_text(_all_actions(spark, sf_dir)))
+    """L1: one (repeatable) row of the action table.
+
+    Ordered on the typed columns and formatted afterwards: zero-padded
+    date / time text sorts exactly like the values, so only the chosen row
+    is turned into text.
+    """
+    return _action_text(sample_row(_all_actions(spark, sf_dir)))
 
 
 def user_info_sample_row(spark, sf_dir):
