@@ -94,3 +94,18 @@ def test_cli_runs_task_on_generated_tables(spark, capsys):
 def test_cli_requires_task_id():
     with pytest.raises(SystemExit):
         cli_main(["--sf-dir", SF001])
+
+
+def test_date_partitioned_table_is_pruned(spark, tmp_path):
+    rows = [action(f"s{d}", 1, f"2018-04-{d:02d} 10:00:00", date=f"2018-04-{d:02d}") for d in range(5, 15)]
+    frame = source(spark, rows, [user(1)])
+    path = str(tmp_path / "user_visit_action")
+    frame.action_rows.write.partitionBy("date").parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("uva_partitioned")
+    frame.user_rows.createOrReplaceTempView("user_info_partitioned")
+    catalog = CatalogSource(spark, "uva_partitioned", "user_info_partitioned")
+    df = catalog.actions("2018-04-09", "2018-04-10")
+    plan = _plan(df)
+    assert "PartitionFilters: [isnotnull(date" in plan and "2018-04-09" in plan
+    got = stats_dict(session_stats(catalog, "2018-04-09", "2018-04-10"))
+    assert got["session_count"] == 2
