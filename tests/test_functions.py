@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from hypothesis import given, settings
@@ -106,7 +106,9 @@ def test_today_and_yesterday(spark):
 
 def _exact_half_up(x: float, scale: int) -> float:
     q = Decimal(1).scaleb(-scale)
-    return float(Decimal(x).quantize(q, rounding=ROUND_HALF_UP))
+    with localcontext() as ctx:
+        ctx.prec = 1200
+        return float(Decimal(x).quantize(q, rounding=ROUND_HALF_UP))
 
 
 def test_round_half_up_binary_ties(spark):
@@ -153,3 +155,12 @@ def test_round_half_up_decimal_ties_from_text(spark):
     for scale in (0, 1, 2, 3):
         got = [r["r"] for r in df.select(round_half_up("v", scale).alias("r")).collect()]
         assert got == [_exact_half_up(x, scale) for x in values], scale
+
+
+def test_round_half_up_near_two_to_the_53(spark):
+    values = [451.05671128624044, 4503.599627370497, 9007.199254740991, 123456.78901234567,
+              0.5000000000000001, 4.5e15 + 0.5, 9.007199254740993e15, 1e-300]
+    df = spark.createDataFrame([(x,) for x in values], "v double")
+    for scale in (0, 2, 11, 12, 13, 15):
+        got = [r["r"] for r in df.select(round_half_up("v", scale).alias("r")).collect()]
+        assert got == [_exact_half_up(x, scale) for x in values], scale

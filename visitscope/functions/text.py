@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Veltkamp split factor 2**27 + 1 and the largest double below which every
 # product of the rounding step still has an exactly representable floor.
 _SPLIT = 134217729.0
-_EXACT_LIMIT = float(2 ** 52)
+_EXACT_LIMIT = float(2 ** 53)
 
 
 def _col(c: Column | str) -> Column:
@@ -58,11 +58,12 @@ def round_half_up(c: Column | str, scale: int) -> Column:
     `1.005` is stored as 1.00499999999999989... and so gives 1.0, and
     `2.675` gives 2.67 -- unlike `F.round`, which rounds the shortest decimal
     text of the double (1.01, 2.68). With p = |x| * 10^scale rounded to a
-    double, the decision is plain unless p is exactly a half-integer; then
-    the sign of the rounding error of p decides, and that error is computed
-    exactly by Dekker's two-product in plain double arithmetic (so the
-    expression stays small and inside whole-stage codegen). From 2^52 on the
-    double grid is no finer than the decimal grid and x itself is the answer.
+    double and err its exact rounding error (Dekker's two-product, plain
+    double arithmetic, so the expression stays small and inside whole-stage
+    codegen), the result rounds up iff frac(p) + err >= 1/2. This is exact
+    while p < 2^53; from there on |x| has no binary digit finer than
+    half of 10^-scale, and x itself is the nearest double to the
+    rounded value.
     Null gives null; NaN and infinities pass through.
     """
     if not 0 <= scale <= 15:
@@ -85,7 +86,9 @@ def round_half_up(c: Column | str, scale: int) -> Column:
         m_hi = m_value * _SPLIT - (m_value * _SPLIT - m_value)
         m_lo = m_value - m_hi
         err = ((a_hi * F.lit(m_hi) - p) + a_hi * F.lit(m_lo) + a_lo * F.lit(m_hi)) + a_lo * F.lit(m_lo)
-    up = (frac > F.lit(0.5)) | ((frac == F.lit(0.5)) & (err >= F.lit(0.0)))
+    # round up iff frac + err >= 1/2; both sides of the comparison are exact
+    # wherever the answer is close (Sterbenz), so the decision is exact
+    up = (frac - F.lit(0.5)) >= -err
     k = n + up.cast("double")
     magnitude = F.when(p < F.lit(_EXACT_LIMIT), k / m).otherwise(a)
     # the sign of x restores the sign (and gives null for null input)

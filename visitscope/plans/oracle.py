@@ -201,8 +201,8 @@ def _round_sql(x: str, scale: int) -> str:
     err = f"(({a_hi} * {m} - {p}) + {a_lo} * {m})"
     n = f"floor({p})"
     frac = f"({p} - {n})"
-    up = f"(CASE WHEN {frac} > {d(0.5)} OR ({frac} = {d(0.5)} AND {err} >= {d(0.0)}) THEN {d(1.0)} ELSE {d(0.0)} END)"
-    mag = f"(CASE WHEN {p} < {d(2.0 ** 52)} THEN ({n} + {up}) / {m} ELSE {a} END)"
+    up = f"(CASE WHEN ({frac} - {d(0.5)}) >= -{err} THEN {d(1.0)} ELSE {d(0.0)} END)"
+    mag = f"(CASE WHEN {p} < {d(2.0 ** 53)} THEN ({n} + {up}) / {m} ELSE {a} END)"
     return f"({mag} * sign({x}))"
 
 
