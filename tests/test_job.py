@@ -70,6 +70,10 @@ def test_sort_merge_join_when_broadcast_not_allowed(spark):
         got = df.collect()
         plan = _plan(df)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    final = plan.split("== Initial Plan ==")[0]
+    # counts side arrives partitioned by user id: one exchange by user id per side, no more
+    assert final.count("Exchange hashpartitioning(user_id") == 2
+    assert final.count("Exchange hashpartitioning(session_id") == 1
     assert got == expected
 
 
