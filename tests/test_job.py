@@ -113,3 +113,45 @@ def test_date_partitioned_table_is_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan and "2018-04-09" in plan
     got = stats_dict(session_stats(catalog, "2018-04-09", "2018-04-10"))
     assert got["session_count"] == 2
+
+
+@contextlib.contextmanager
+def _conf(spark, values: dict[str, str]):
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_hot_user_is_split_by_skew_join(spark):
+    from pyspark.sql import functions as F
+
+    from visitscope.operators.profile import attach_profile
+
+    src = GeneratedSource(spark, SF001)
+    # nine users in ten folded onto one owner: one user holds most sessions
+    acts = src.actions().withColumn(
+        "user_id", F.when(F.col("user_id") % 10 != 0, F.lit(5)).otherwise(F.col("user_id")))
+    expected = sorted(attach_profile(session_records_text(acts), src.users()).collect())
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with _conf(spark, settings):
+        df = attach_profile(session_records_text(acts), src.users())
+        got = sorted(df.collect())
+        plan = _plan(df)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got == expected
