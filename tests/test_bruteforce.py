@@ -6,7 +6,6 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Row
 
 from helpers import DAY, action, stats_dict, source, user
 from visitscope.constants import SESSION_COUNT, STEP_BANDS, VISIT_BANDS

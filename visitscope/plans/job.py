@@ -20,7 +20,6 @@ import datetime as dt
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.timefmt import format_time
 from ..operators.filters import FilterSpec, profile_predicate, session_hit_predicate

@@ -8,6 +8,8 @@ aggregates, bands with plain CASE logic.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from ..constants import SESSION_COUNT, STEP_BANDS, VISIT_BANDS
 from .catalog import (
     CATEGORIES,
@@ -20,7 +22,7 @@ from .catalog import (
     TASK_STAT_ID,
 )
 
-_HI_EXCL = "2024-01-12"  # day after END_DATE
+_HI_EXCL = (dt.date.fromisoformat(END_DATE) + dt.timedelta(days=1)).isoformat()  # day after END_DATE
 
 
 def _ev(window: bool | str) -> str:
