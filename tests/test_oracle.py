@@ -54,4 +54,5 @@ def test_entry_smoke(spark):
     out = E.entry(spark)
     rows = out.collect()
     assert out.columns == ["metric", "cnt"] and len(rows) == 16
-    assert dict((r.metric, r.cnt) for r in rows)["session_count"] == 181
+    # FIXTURES.md section 2: 713 sessions in the whole sf0.001 events table
+    assert dict((r.metric, r.cnt) for r in rows)["session_count"] == 713

@@ -34,10 +34,29 @@ def test_band_sums(src, base):
 
 
 def test_measured_counts(base):
-    # FIXTURES.md section 2: 181 sessions at sf0.001 for the window.
+    # FIXTURES.md section 2: 181 sessions at sf0.001 for 2024-01-05 .. 2024-01-11.
     assert base["session_count"] == 181
 
 
+# FIXTURES.md section 2, "Measured band coverage (whole table, no filters)":
+# sessions, zero-second sessions, the nine visit bands, the six step bands.
+WHOLE_TABLE = {
+    "sf0.001": (713, 597, [0, 0, 0, 1, 2, 9, 12, 17, 75], [677, 23, 9, 4, 0, 0]),
+    "sf0.01": (3980, 2595, [5, 5, 12, 40, 60, 226, 396, 192, 449], [3580, 230, 25, 115, 8, 22]),
+    "sf0.1": (9425, 365, [12, 8, 7, 85, 108, 710, 7260, 0, 870], [2635, 4326, 1411, 699, 204, 150]),
+}
+
+
+@pytest.mark.parametrize("sf", sorted(WHOLE_TABLE))
+def test_whole_table_bands_match_fixtures(spark, sf):
+    sessions, zero, visit, step = WHOLE_TABLE[sf]
+    got = stats_dict(session_stats(GeneratedSource(spark, f"/root/testdata/{sf}"), "2024-01-01", "2024-01-31"))
+    assert got["session_count"] == sessions
+    assert [got[b[0]] for b in VISIT_BANDS] == visit
+    assert [got[b[0]] for b in STEP_BANDS] == step
+    assert sessions - sum(visit) == zero
+
+
 @pytest.mark.parametrize("spec", [
     FilterSpec.of(start_age=10, end_age=40),
     FilterSpec.of(sex="male"),

@@ -1,8 +1,12 @@
 """Registered queries: one per operator, each `(spark, sf_dir) -> DataFrame`.
 
 Every query reads the generated tables in `sf_dir` (through the views of
-`sources.testdata`) over their whole extent; the analysis window of the
-session queries is the task parameter `2024-01-05 .. 2024-01-11`.
+`sources.testdata`) over their whole extent. The analysis window of the
+session queries is the month the generated events cover, January 2024,
+so every event takes part; the window is still applied (and pushed into
+the scan) as in any task. `action_date_range` reads one week, because the
+range itself is what that operator is about, and `task_session_stat`
+uses the window stored in its task.
 Output columns are plain text / integers so that results compare by
 value with the SQL statements in `plans.oracle`.
 """
@@ -48,8 +52,10 @@ from .job import analyze_task, filtered_sessions, session_stats, session_stats_p
 from .params import find_task, parse_task_params
 
 # Analysis window and filter values of the registered queries (task parameters).
-START_DATE = "2024-01-05"
-END_DATE = "2024-01-11"
+START_DATE = "2024-01-01"
+END_DATE = "2024-01-31"
+RANGE_START = "2024-01-05"
+RANGE_END = "2024-01-11"
 LOOKUP_TASK_ID = 42
 TASK_STAT_ID = 12
 FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
@@ -99,8 +105,8 @@ def _action_text(actions: DataFrame) -> DataFrame:
 # ---------------- sources ----------------
 
 def action_date_range(spark, sf_dir):
-    """Action rows of the window, both end days included."""
-    return _action_text(_window_actions(spark, sf_dir))
+    """Action rows of one week, both end days included."""
+    return _action_text(_src(spark, sf_dir).actions(RANGE_START, RANGE_END))
 
 
 def user_info_scan(spark, sf_dir):

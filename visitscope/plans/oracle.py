@@ -18,6 +18,8 @@ from .catalog import (
     FIRST_SEGMENTS,
     KEYWORDS,
     LOOKUP_TASK_ID,
+    RANGE_END,
+    RANGE_START,
     START_DATE,
     TASK_STAT_ID,
 )
@@ -244,7 +246,10 @@ def _task_stat_sql(task_id: int) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "action_date_range": _with(_ev(True), _UVA) + _ACTION_TEXT,
+    "action_date_range": _with(_ev(
+        f"WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_START}' + INTERVAL "
+        f"{(dt.date.fromisoformat(RANGE_END) - dt.date.fromisoformat(RANGE_START)).days + 1} DAY"), _UVA)
+        + _ACTION_TEXT,
     "user_info_scan": _with(_UI) + "SELECT user_id, username, name, age, professional, city, sex FROM ui",
     "task_lookup": _with(_TASKS) + f"SELECT * FROM tp WHERE task_id = {LOOKUP_TASK_ID}",
     "task_params": _with(_TASKS) + "SELECT * FROM tp",
