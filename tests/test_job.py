@@ -155,3 +155,26 @@ def test_hot_user_is_split_by_skew_join(spark):
         plan = _plan(df)
     assert "SortMergeJoin(skew=true)" in plan
     assert got == expected
+
+
+def test_window_does_not_depend_on_process_time_zone(spark):
+    import os
+    import time
+
+    import duckdb
+
+    want = duckdb.sql(
+        f"SELECT count(*) FROM read_parquet('{SF001}/events.parquet') "
+        "WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'").fetchall()[0][0]
+    old = os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "Asia/Kolkata"
+        time.tzset()
+        got = GeneratedSource(spark, SF001).actions(LO, HI).count()
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert got == want

@@ -94,10 +94,11 @@ class GeneratedSource:
             lo, hi = as_date(start), as_date(end)
             if lo > hi:
                 raise ValueError(f"start date {lo} is after end date {hi}")
-            lo_ts = dt.datetime.combine(lo, dt.time())
-            hi_ts = dt.datetime.combine(hi + dt.timedelta(days=1), dt.time())
-            ev = ev.where((F.col("ts") >= F.lit(lo_ts).cast("timestamp_ntz"))
-                          & (F.col("ts") < F.lit(hi_ts).cast("timestamp_ntz")))
+            # Bounds from text: a Python datetime literal would be read in the
+            # local zone of the Python process and shift the window.
+            lo_ts = F.lit(f"{lo.isoformat()} 00:00:00").cast("timestamp_ntz")
+            hi_ts = F.lit(f"{(hi + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
+            ev = ev.where((F.col("ts") >= lo_ts) & (F.col("ts") < hi_ts))
         return actions_from_events(ev)
 
     def users(self) -> DataFrame:
