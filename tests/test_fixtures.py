@@ -189,3 +189,23 @@ def test_task_drives_job(spark):
     from visitscope.plans.job import analyze_task
     got = stats_dict(analyze_task(src, tasks, 5))
     assert got["session_count"] == 1 and got["10s_30s"] == 1 and got["1_3"] == 1
+
+
+@pytest.mark.parametrize("spec", [
+    FilterSpec.of(keywords="k1"),
+    FilterSpec.of(category_ids="3,5"),
+    FilterSpec.of(keywords="k0,k2", category_ids="4"),
+    FilterSpec(),
+])
+def test_list_predicates_agree_with_hit_flags(spark, spec):
+    from visitscope.operators.filters import session_hit_predicate, session_list_predicate
+    from visitscope.operators.rollup import session_core
+
+    rows = []
+    for i in range(30):
+        rows += [action(f"s{i}", 1, at(j), keyword=f"k{(i + j) % 5}" if j % 2 else None,
+                        category=(i * j) % 9 if j % 3 == 0 else None) for j in range(i % 6 + 1)]
+    actions = source(spark, rows, [user(1)]).actions(DAY, DAY)
+    by_list = {r["session_id"] for r in session_records(actions).where(session_list_predicate(spec)).collect()}
+    by_flag = {r["session_id"] for r in session_core(actions, spec).where(session_hit_predicate(spec)).collect()}
+    assert by_list == by_flag
