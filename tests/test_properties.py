@@ -76,3 +76,26 @@ def test_partitioning_does_not_change_result(spark, src, base):
         frame = FrameSource(actions, src.users())
         # FrameSource re-applies the date filter on the typed `date` column
         assert stats_dict(session_stats(frame, LO, HI)) == base
+
+
+# FIXTURES.md section 2: session_count for 2024-01-05 .. 2024-01-11 under each filter.
+_SEGMENTS = "AUTOMOBILE,BUILDING,FURNITURE"
+_NATIONS = ",".join(sorted(f"NATION_{i}" for i in range(25))[:15])
+FILTER_COUNTS = [
+    (FilterSpec(), 181, 907),
+    (FilterSpec.of(start_age=10, end_age=40), 50, 474),
+    (FilterSpec.of(sex="male"), 102, 457),
+    (FilterSpec.of(professionals=_SEGMENTS), 103, 519),
+    (FilterSpec.of(cities=_NATIONS), 164, 701),
+    (FilterSpec.of(keywords="kw1,kw2,kw3"), 11, 93),
+    (FilterSpec.of(category_ids=[str(i) for i in range(50)]), 25, 165),
+    (FilterSpec.of(start_age=10, end_age=40, professionals=_SEGMENTS, cities=_NATIONS,
+                   keywords="kw1,kw2,kw3"), 1, 18),
+]
+
+
+@pytest.mark.parametrize("spec,at_001,at_01", FILTER_COUNTS)
+def test_filter_counts_match_fixtures(spark, spec, at_001, at_01):
+    for sf, want in (("sf0.001", at_001), ("sf0.01", at_01)):
+        src = GeneratedSource(spark, f"/root/testdata/{sf}")
+        assert stats_dict(session_stats(src, LO, HI, spec))["session_count"] == want, sf
