@@ -4,6 +4,9 @@ The sixteen counters are ordinary conditional counts in one aggregate:
 partial counts per partition, merged field by field (no accumulator, so
 task retries cannot double count). One band list drives the wide row,
 the long `(metric, cnt)` form and the packed text form.
+
+The counters are written as SQL expressions: one call into the JVM per
+column instead of one per operator node keeps plan construction cheap.
 """
 
 from __future__ import annotations
@@ -12,25 +15,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import SESSION_COUNT, STEP_BANDS, VISIT_BANDS, stat_metrics
-from ..functions.packed import pack
 
 METRICS = stat_metrics()
 
 
-def _in_band(value: Column, lo: int, hi: int | None) -> Column:
-    return (value >= lo) if hi is None else value.between(lo, hi)
+def _in_band(column: str, lo: int, hi: int | None) -> str:
+    return f"{column} >= {lo}" if hi is None else f"{column} BETWEEN {lo} AND {hi}"
 
 
 def metric_conditions(visit_length: str = "visit_length",
-                      step_length: str = "step_length") -> list[tuple[str, Column]]:
-    """(metric, condition) for all 16 counters, in declaration order.
+                      step_length: str = "step_length") -> list[tuple[str, str]]:
+    """(metric, SQL condition) for all 16 counters, in declaration order.
 
     A 0-second session counts in `session_count` but in no visit band.
     """
-    v, s = F.col(visit_length), F.col(step_length)
-    conds = [(SESSION_COUNT, F.lit(True))]
-    conds += [(name, _in_band(v, lo, hi)) for name, lo, hi in VISIT_BANDS]
-    conds += [(name, _in_band(s, lo, hi)) for name, lo, hi in STEP_BANDS]
+    conds = [(SESSION_COUNT, "true")]
+    conds += [(name, _in_band(visit_length, lo, hi)) for name, lo, hi in VISIT_BANDS]
+    conds += [(name, _in_band(step_length, lo, hi)) for name, lo, hi in STEP_BANDS]
     return conds
 
 
@@ -40,20 +41,20 @@ def _slot(i: int) -> str:
 
 def slot_counts(visit_length: str = "visit_length", step_length: str = "step_length") -> list[Column]:
     """Per-group conditional counts, one slot column per metric."""
-    return [F.count_if(cond).alias(_slot(i))
+    return [F.expr(f"count_if({cond}) AS {_slot(i)}")
             for i, (_, cond) in enumerate(metric_conditions(visit_length, step_length))]
 
 
 def slot_sums() -> list[Column]:
     """Merge slot columns of several groups; empty input gives zeros."""
-    return [F.coalesce(F.sum(_slot(i)), F.lit(0)).cast("bigint").alias(_slot(i))
+    return [F.expr(f"CAST(coalesce(sum({_slot(i)}), 0) AS BIGINT) AS {_slot(i)}")
             for i in range(len(METRICS))]
 
 
 def stat_slots(sessions: DataFrame) -> DataFrame:
     """One row of 16 slot counts straight from session rows."""
-    return sessions.agg(*slot_counts()).select(
-        *[F.col(_slot(i)).cast("bigint").alias(_slot(i)) for i in range(len(METRICS))])
+    return sessions.agg(*slot_counts()).selectExpr(
+        *[f"CAST({_slot(i)} AS BIGINT) AS {_slot(i)}" for i in range(len(METRICS))])
 
 
 def slots_to_long(slots: DataFrame, metrics: list[str] | None = None) -> DataFrame:
@@ -65,29 +66,25 @@ def slots_to_long(slots: DataFrame, metrics: list[str] | None = None) -> DataFra
 
 def slots_to_wide(slots: DataFrame) -> DataFrame:
     """One slot row with the metric names as column names."""
-    return slots.select(*[F.col(_slot(i)).alias(m) for i, m in enumerate(METRICS)])
+    return slots.selectExpr(*[f"{_slot(i)} AS `{m}`" for i, m in enumerate(METRICS)])
 
 
 def slots_to_packed(slots: DataFrame) -> DataFrame:
     """One row, one text column: `session_count=…|1s_3s=…|…|60=…`."""
-    return slots.select(pack([(m, F.col(_slot(i))) for i, m in enumerate(METRICS)]).alias("stat"))
+    parts = ", ".join(f"'{m}=' || CAST({_slot(i)} AS STRING)" for i, m in enumerate(METRICS))
+    return slots.selectExpr(f"concat_ws('|', {parts}) AS stat")
+
+
+def _band_case(column: str, bands) -> Column:
+    whens = " ".join(f"WHEN {_in_band(column, lo, hi)} THEN '{name}'" for name, lo, hi in bands)
+    return F.expr(f"CASE {whens} END")
 
 
 def visit_band(visit_length: str = "visit_length") -> Column:
     """Name of the visit band of a session, null for 0 seconds."""
-    v = F.col(visit_length)
-    out = None
-    for name, lo, hi in VISIT_BANDS:
-        out = (F.when(_in_band(v, lo, hi), F.lit(name)) if out is None
-               else out.when(_in_band(v, lo, hi), F.lit(name)))
-    return out
+    return _band_case(visit_length, VISIT_BANDS)
 
 
 def step_band(step_length: str = "step_length") -> Column:
     """Name of the step band of a session."""
-    s = F.col(step_length)
-    out = None
-    for name, lo, hi in STEP_BANDS:
-        out = (F.when(_in_band(s, lo, hi), F.lit(name)) if out is None
-               else out.when(_in_band(s, lo, hi), F.lit(name)))
-    return out
+    return _band_case(step_length, STEP_BANDS)

@@ -47,7 +47,7 @@ from ..operators.profile import attach_profile, match_report
 from ..operators.rollup import list_text, session_core, session_records, session_records_text
 from ..operators.sample import sample_row
 from ..operators.stats import step_band, visit_band
-from ..sources.testdata import GeneratedSource
+from ..sources.testdata import GeneratedSource, read_table
 from .job import analyze_task, filtered_sessions, session_stats, session_stats_packed
 from .params import find_task, parse_task_params
 
@@ -286,7 +286,7 @@ def time_format(spark, sf_dir):
 
 def round_half_up_query(spark, sf_dir):
     """Line revenue rounded half-up on the exact double value."""
-    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    li = read_table(spark, sf_dir, "lineitem")
     revenue = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
     return li.select(
         "l_orderkey", "l_linenumber",

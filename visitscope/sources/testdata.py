@@ -18,56 +18,75 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .tables import USER_COLUMNS, as_date
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Parquet schema per path: inferring it runs a small Spark job on every read,
+# so the schema found on the first read is passed explicitly afterwards.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
-def _session_id(user_id: Column, t: Column) -> Column:
-    u = user_id % 5
-    day = F.date_format(t, "yyyyMMdd")
-    grain = (
-        F.when(u == 0, day)
-        .when(u == 1, F.concat(day, F.lit("q"), F.floor(F.hour(t) / 6).cast("string")))
-        .when(u == 2, F.date_format(t, "yyyyMMddHH"))
-        .otherwise(F.floor(F.unix_timestamp(t) / 600).cast("string"))
-    )
-    return F.concat(u.cast("string"), F.lit("_"), grain)
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One generated table, e.g. `lineitem`, from `sf_dir`."""
+    return _read(spark, sf_dir, name)
+
+
+# The derived columns, as SQL expressions over `events` (`t` is the action
+# time cut to whole seconds, `k` the number in `props`); one JVM call per
+# column keeps plan construction cheap.
+_ACTION_COLUMNS = [
+    "to_date(t) AS date",
+    "user_id",
+    "concat(CAST(user_id % 5 AS STRING), '_', CASE user_id % 5"
+    " WHEN 0 THEN date_format(t, 'yyyyMMdd')"
+    " WHEN 1 THEN concat(date_format(t, 'yyyyMMdd'), 'q', CAST(floor(hour(t) / 6) AS STRING))"
+    " WHEN 2 THEN date_format(t, 'yyyyMMddHH')"
+    " ELSE CAST(floor(unix_timestamp(t) / 600) AS STRING) END) AS session_id",
+    "event_id % 10 AS page_id",
+    "t AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 10 AS STRING)) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN k END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN event_id % 100 END AS click_product_id",
+    "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) END AS order_category_ids",
+    "CASE WHEN event_type = 'signup' THEN CAST(event_id % 100 AS STRING) END AS order_product_ids",
+    "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS pay_category_ids",
+    "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 100 AS STRING) END AS pay_product_ids",
+    "user_id % 10 AS city_id",
+]
 
 
 def actions_from_events(events: DataFrame) -> DataFrame:
-    """`user_visit_action` rows from `events` rows (columns as the typed schema)."""
-    t = F.date_trunc("second", F.col("ts"))
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
-    etype = F.col("event_type")
-    product = (F.col("event_id") % 100)
-    return events.select(
-        F.to_date(t).alias("date"),
-        F.col("user_id"),
-        _session_id(F.col("user_id"), t).alias("session_id"),
-        (F.col("event_id") % 10).alias("page_id"),
-        t.alias("action_time"),
-        F.when(etype == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
-        F.when(etype == "click", k).alias("click_category_id"),
-        F.when(etype == "click", product).alias("click_product_id"),
-        F.when(etype == "signup", k.cast("string")).alias("order_category_ids"),
-        F.when(etype == "signup", product.cast("string")).alias("order_product_ids"),
-        F.when(etype == "purchase", k.cast("string")).alias("pay_category_ids"),
-        F.when(etype == "purchase", product.cast("string")).alias("pay_product_ids"),
-        (F.col("user_id") % 10).alias("city_id"),
-    )
+    """`user_visit_action` rows from `events` rows (columns as the typed schema).
+
+    A session is a time grain chosen by `user_id % 5`: the day, a quarter
+    of the day, the hour, or ten minutes.
+    """
+    return events.selectExpr(
+        "event_id", "user_id", "event_type",
+        "date_trunc('second', ts) AS t",
+        "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k",
+    ).selectExpr(*_ACTION_COLUMNS)
 
 
 def _customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                         "c_acctbal", "c_mktsegment")
-    nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     # `nation` holds 25 rows by construction; the planner broadcasts it from
     # its measured file size, no hint needed.
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner")
+    return customer.join(nation, "c_nationkey", "inner")
 
 
 @dataclass
@@ -96,22 +115,22 @@ class GeneratedSource:
                 raise ValueError(f"start date {lo} is after end date {hi}")
             # Bounds from text: a Python datetime literal would be read in the
             # local zone of the Python process and shift the window.
-            lo_ts = F.lit(f"{lo.isoformat()} 00:00:00").cast("timestamp_ntz")
-            hi_ts = F.lit(f"{(hi + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
-            ev = ev.where((F.col("ts") >= lo_ts) & (F.col("ts") < hi_ts))
+            ev = ev.where(
+                f"ts >= CAST('{lo.isoformat()} 00:00:00' AS TIMESTAMP_NTZ) AND "
+                f"ts < CAST('{(hi + dt.timedelta(days=1)).isoformat()} 00:00:00' AS TIMESTAMP_NTZ)")
         return actions_from_events(ev)
 
     def users(self) -> DataFrame:
         cn = _customer_profile(self.spark, self.sf_dir)
-        return cn.select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_name").alias("username"),
-            F.col("c_name").alias("name"),
-            (F.col("c_custkey") % 60).cast("int").alias("age"),
-            F.col("c_mktsegment").alias("professional"),
-            F.col("n_name").alias("city"),
-            F.when(F.col("c_custkey") % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
-        ).select(*USER_COLUMNS)
+        return cn.selectExpr(
+            "c_custkey AS user_id",
+            "c_name AS username",
+            "c_name AS name",
+            "CAST(c_custkey % 60 AS INT) AS age",
+            "c_mktsegment AS professional",
+            "n_name AS city",
+            "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
+        )
 
     def products(self) -> DataFrame:
         part = _read(self.spark, self.sf_dir, "part")
