@@ -164,3 +164,15 @@ def test_round_half_up_near_two_to_the_53(spark):
     for scale in (0, 2, 11, 12, 13, 15):
         got = [r["r"] for r in df.select(round_half_up("v", scale).alias("r")).collect()]
         assert got == [_exact_half_up(x, scale) for x in values], scale
+
+
+def test_packed_set_escapes_and_edges(spark):
+    v = F.col("v")
+    assert one(spark, set_field(v, "b", F.lit("$1\\x")), "a=1|b=2|c=3") == "a=1|b=$1\\x|c=3"
+    assert one(spark, set_field(v, "a.b", "7"), "axb=1|a.b=2") == "axb=1|a.b=7"
+    assert one(spark, set_field(v, "b", "7"), "a=1|b|c=3") == "a=1|b=7|c=3"
+    assert one(spark, set_field(v, "c", "7"), "a=1|bc=2|c=3||") == "a=1|bc=2|c=7"
+    assert one(spark, set_field(v, "z", "7"), "a=1||") == "a=1"
+    assert one(spark, get_field(v, "a.b"), "axb=1|a.b=2") == "2"
+    assert one(spark, get_field(v, "b"), "ab=1|b=2") == "2"
+    assert one(spark, get_field(v, "b"), None) is None

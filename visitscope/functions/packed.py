@@ -1,8 +1,9 @@
 """Column codec for packed `k=v|k=v` text.
 
 Typed columns are the working form; packed text exists only as an
-input/output format. All three operations are built-in array functions,
-so they run inside the JVM without a Python round trip.
+input/output format. Reading and rewriting a field are anchored regular
+expressions and packing is `concat_ws`: built-in, code-generated
+expressions, with no per-row array and no lambda.
 """
 
 from __future__ import annotations
@@ -14,52 +15,47 @@ from pyspark.sql import functions as F
 
 from ..constants import PACKED_FIELD_SEP, PACKED_KV_SEP
 
-_SEP_REGEX = r"\|"
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _entries(packed: Column) -> Column:
-    # Empty entries at the end are dropped, as a plain text split would do.
-    trimmed = F.regexp_replace(packed, r"\|+\z", "")
-    return F.split(trimmed, _SEP_REGEX)
-
-
-def _name(entry: Column) -> Column:
-    return F.substring_index(entry, PACKED_KV_SEP, 1)
+def _quoted(field: str) -> str:
+    """`field` as a literal inside a Java regular expression."""
+    if "\\E" in field:
+        raise ValueError(f"unsupported field name: {field!r}")
+    return "\\Q" + field + "\\E"
 
 
 def get_field(packed: Column | str, field: str) -> Column:
     """Value of the first `field=` entry, null when there is none.
 
-    The value is everything after the first `=`; repeated names are allowed
-    (first wins), unlike `str_to_map`, which raises on them.
+    The value is everything after the first `=` up to the next `|`;
+    repeated names are allowed (first wins), unlike `str_to_map`, which
+    raises on them. A codegen'd regular expression, no array is built.
     """
-    prefix = field + PACKED_KV_SEP
-    hits = F.filter(_entries(_col(packed)), lambda e: F.startswith(e, F.lit(prefix)))
-    first = F.try_element_at(hits, F.lit(1))
-    return first.substr(F.lit(len(prefix) + 1), F.length(first))
+    c = _col(packed)
+    pattern = "(?:^|\\|)" + _quoted(field) + "=([^|]*)"
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
 
 def set_field(packed: Column | str, field: str, value: Column | str) -> Column:
     """Replace the value of the first entry named `field` (C14).
 
-    Order is kept and an unknown field leaves the text as it is; the
-    result is always joined with `|`.
+    Order is kept and an unknown field leaves the entries as they are; as
+    with a plain split and join, empty entries at the end are dropped. The
+    anchored pattern consumes whole entries lazily, so only the first entry
+    whose name is `field` is rewritten.
     """
-    entries = _entries(_col(packed))
-    new_value = F.lit(value) if isinstance(value, str) else value
-    first_pos = F.array_position(F.transform(entries, _name), F.lit(field))
-    replaced = F.transform(
-        entries,
-        lambda e, i: F.when(
-            (i + 1) == first_pos,
-            F.concat(F.lit(field + PACKED_KV_SEP), new_value.cast("string")),
-        ).otherwise(e),
-    )
-    return F.array_join(replaced, PACKED_FIELD_SEP)
+    c = _col(packed)
+    new_value = F.lit(value) if isinstance(value, str) else value.cast("string")
+    # `$` and `\` are special in a replacement text
+    escaped = F.regexp_replace(new_value, "([\\\\$])", "\\\\$1")
+    literal_field = field.replace("\\", "\\\\").replace("$", "\\$")
+    pattern = "^((?:[^|]*+\\|)*?)" + _quoted(field) + "(?:=[^|]*)?(?=\\||\\z)"
+    replaced = F.regexp_replace(c, F.lit(pattern),
+                                F.concat(F.lit("$1" + literal_field + PACKED_KV_SEP), escaped))
+    return F.regexp_replace(replaced, "\\|+\\z", "")
 
 
 def pack(fields: Iterable[tuple[str, Column | str]]) -> Column:

@@ -160,7 +160,7 @@ def category_list_predicate(spec: FilterSpec, column: str = "click_category_ids"
     """Session's category list shares a value with the task's list."""
     if not spec.category_ids:
         return None
-    as_text = F.transform(F.col(column), lambda c: c.cast("string"))
+    as_text = F.col(column).cast("array<string>")
     return F.coalesce(F.arrays_overlap(as_text, F.array(*[F.lit(c) for c in spec.category_ids])),
                       F.lit(False))
 

@@ -95,7 +95,7 @@ def session_records(actions: DataFrame) -> DataFrame:
 def list_text(c: Column | str) -> Column:
     """A list column as comma-joined text (empty list: empty text)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.transform(col, lambda v: v.cast("string")), ",")
+    return F.array_join(col.cast("array<string>"), ",")
 
 
 def session_records_text(actions: DataFrame) -> DataFrame:

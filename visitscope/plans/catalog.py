@@ -300,8 +300,10 @@ def round_half_up_query(spark, sf_dir):
 def trim_comma_query(spark, sf_dir):
     """C11: keyword buffer `a,b,` of each session trimmed to `a,b`."""
     rec = session_records(_window_actions(spark, sf_dir))
-    buffer = F.concat(F.lit(","), F.array_join(
-        F.transform("search_keywords", lambda k: F.concat(k, F.lit(","))), ""))
+    kws = F.col("search_keywords")
+    # every keyword followed by a comma, after a leading comma
+    buffer = F.concat(F.lit(","), F.array_join(kws, ","),
+                      F.when(F.size(kws) > 0, F.lit(",")).otherwise(F.lit("")))
     return rec.select("session_id", buffer.alias("keyword_buffer"),
                       trim_comma(buffer).alias("search_keywords"))
 
