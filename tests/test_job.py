@@ -178,3 +178,16 @@ def test_window_does_not_depend_on_process_time_zone(spark):
             os.environ["TZ"] = old
         time.tzset()
     assert got == want
+
+
+def test_catalog_source_with_text_dates_and_times(spark):
+    rows = [action("a", 1, "2018-04-09 7:05:09"), action("a", 1, "2018-04-09 17:05:09"),
+            action("b", 1, "2018-04-10 0:00:00", date="2018-04-10"),
+            action("c", 1, "2018-04-11 0:00:00", date="2018-04-11")]
+    frame = source(spark, rows, [user(1)])
+    frame.action_rows.createOrReplaceTempView("uva_text")
+    frame.user_rows.createOrReplaceTempView("user_info_text")
+    catalog = CatalogSource(spark, "uva_text", "user_info_text")
+    assert dict(catalog.actions("2018-04-09", "2018-04-10").dtypes)["action_time"].startswith("timestamp")
+    got = stats_dict(session_stats(catalog, "2018-04-09", "2018-04-10"))
+    assert got["session_count"] == 2 and got["30m"] == 1
