@@ -191,3 +191,22 @@ def test_catalog_source_with_text_dates_and_times(spark):
     assert dict(catalog.actions("2018-04-09", "2018-04-10").dtypes)["action_time"].startswith("timestamp")
     got = stats_dict(session_stats(catalog, "2018-04-09", "2018-04-10"))
     assert got["session_count"] == 2 and got["30m"] == 1
+
+
+def test_session_bucketed_table_needs_no_session_shuffle(spark, tmp_path):
+    from visitscope.operators.rollup import session_core
+
+    rows, users = _fixture_rows()
+    frame = source(spark, rows, users)
+    (frame.action_rows.write.bucketBy(8, "session_id").sortBy("session_id")
+     .option("path", str(tmp_path / "uva_bucketed")).mode("overwrite").saveAsTable("uva_bucketed"))
+    frame.user_rows.createOrReplaceTempView("user_info_b")
+    try:
+        catalog = CatalogSource(spark, "uva_bucketed", "user_info_b")
+        df = session_core(catalog.actions(DAY, DAY))
+        plan = _plan(df)
+        assert "Exchange hashpartitioning(session_id" not in plan
+        assert "Bucketed: true" in plan
+        assert stats_dict(session_stats(catalog, DAY, DAY)) == stats_dict(session_stats(frame, DAY, DAY))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS uva_bucketed")

@@ -30,7 +30,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "visitscope") -> SparkSession:
+                  app_name: str = "visitscope", warehouse_dir: str | None = None) -> SparkSession:
     """A local session for tests, the bench and the smoke entry."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -39,6 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
