@@ -1,6 +1,7 @@
 """The session analysis job: actions -> sessions -> profiles -> filters -> statistics.
 
-Plan of `session_stat_slots` (one Spark job, three exchanges at most):
+Plan of `session_stat_slots` (exchanges: by session, by user, the profile side
+when it is not broadcast, and the single-row total):
 
 1. scan actions of the date range (filter pushed into the scan);
 2. roll up per session -- partial aggregate, exchange by session id, final
