@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import piece_encoding, preferences, sharding, warc
+from . import piece_encoding, preferences, sharding, substring_dedup, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -55,7 +55,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, with_payload=False).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op3_piece_encoding, op5_preference_format, op6_sharding, op7_warc)}
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that smaller ids hold in windows of 50, removed."""
+    return substring_dedup.remove_digest(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_piece_encoding, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup)}
 
 _OP5_SQL = """
 WITH t AS (
