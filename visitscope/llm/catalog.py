@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import piece_encoding, preferences, sharding, substring_dedup, warc
+from . import decontamination, piece_encoding, preferences, sharding, simhash, substring_dedup, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -60,7 +60,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_digest(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_piece_encoding, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, links at up to 2 differing bits."""
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that contains 0.8 or more of the 5-word shingles of a benchmark item, with the item."""
+    return decontamination.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op3_piece_encoding, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination)}
 
 _OP5_SQL = """
 WITH t AS (
@@ -115,4 +125,21 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, digest AS p
 FROM h JOIN d ON h.hex = d.hex
 """
 
-ORACLE = {"op5_preference_format": _OP5_SQL, "op7_warc": _OP7_SQL}
+_OP10_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM benchmark),
+i AS (
+  SELECT DISTINCT item_id, least(len(ws), 5) AS n, unnest(list_transform(range(1, len(ws) - least(len(ws), 5) + 2),
+           lambda p: array_to_string(ws[p:p + least(len(ws), 5) - 1], ' '))) AS shingle
+  FROM b WHERE len(ws) > 0),
+d AS (
+  SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda p: array_to_string(ws[p:p + n - 1], ' '))) AS shingle
+  FROM w, (SELECT DISTINCT n FROM i) WHERE len(ws) >= n),
+q AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
+SELECT doc_id, q.item_id, count(*)::BIGINT AS n_shared, any_value(n_shingles)::BIGINT AS n_shingles,
+  count(*)::DOUBLE / any_value(n_shingles) AS containment
+FROM d JOIN i ON d.shingle = i.shingle AND d.n = i.n JOIN q ON q.item_id = i.item_id
+GROUP BY doc_id, q.item_id HAVING count(*) >= 0.8 * any_value(n_shingles)
+"""
+
+ORACLE = {"op10_decontamination": _OP10_SQL, "op5_preference_format": _OP5_SQL, "op7_warc": _OP7_SQL}
