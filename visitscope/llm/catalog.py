@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, edit_embedding, piece_encoding, preferences, sharding, simhash, substring_dedup, warc
+from . import decontamination, edit_embedding, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -37,6 +37,11 @@ def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.encode_digest(read_table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every two neighbouring conversations as a preference pair; spans as text `begin-end,...`."""
     def spans(name: str):
@@ -75,7 +80,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_edit_fingerprints, op3_piece_encoding, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination)}
 
 _OP5_SQL = """
 WITH t AS (
