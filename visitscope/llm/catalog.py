@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, edit_embedding, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, warc
+from . import decontamination, edit_embedding, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -27,6 +27,11 @@ def tokenizer_path(name: str) -> str:
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by a model fitted on the labels that are not held out."""
+    return toxicity.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, with their likeness."""
     return edit_embedding.edit_report(read_table(spark, sf_dir, "documents"))
@@ -80,7 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination)}
 
 _OP5_SQL = """
 WITH t AS (
