@@ -32,6 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_batches, small_batches, staged, text_or_empty, texts
 
@@ -157,20 +158,21 @@ class Scanner(dict):
                 sums["obfuscated"] / n, math.log1p(sums["obfuscated_hit"]), sums["digits"] / n, sums["length"] / n, math.log(n)]
 
 
-def with_features(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """`rows` (doc_id long, ..., text last) with the text replaced by `features`, an array of doubles."""
+def with_features(rows: DataFrame, lexicon: Lexicon, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns `keep` of `rows` and `features`, an array of doubles made from the text column."""
     small_batches(rows.sparkSession)
-    kept = rows.schema.fields[:-1]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", features array<double>"
-    names = [*(f.name for f in kept), "features"]
+    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("features", T.ArrayType(T.DoubleType(), False), False)])
+    read = [*keep, *([text_col] if text_col not in keep else [])]
+    at = read.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(lexicon)
         for batch in batches:
-            found = [scanner.features(t) for t in texts(batch.columns[-1])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.float64()))], names=names)
+            found = [scanner.features(t) for t in texts(batch.column(at))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(keep)], pa.array(found, pa.list_(pa.field("element", pa.float64(), False)))], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.select(*read).mapInArrow(run, schema)
 
 
 def _unit_counts(rows: DataFrame, only: frozenset[str] | None) -> DataFrame:
@@ -210,10 +212,9 @@ class Model:
     trees: GBTClassificationModel | None
     calibration: IsotonicRegressionModel | None
 
-    def score(self, rows: DataFrame) -> DataFrame:
-        """`rows` (..., text last) with `score` in place of the text."""
-        found = with_features(rows, self.lexicon)
-        kept = found.columns[:-1]
+    def score(self, rows: DataFrame, kept: list[str], text_col: str = "text") -> DataFrame:
+        """The columns `kept` of `rows` and the `score` of its text column."""
+        found = with_features(rows, self.lexicon, kept, text_col)
         if self.trees is None:
             return found.select(*kept, (1 - F.exp(-F.expm1(F.col("features")[1]))).alias("score"))
         found = self.trees.transform(found.withColumn("vector", array_to_vector("features")))
@@ -240,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     .join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "fold", "text"), "toxicity-sample")
     fitted = F.col("fold") != CALIBRATION
     lexicon = learn_lexicon(sample.where(fitted))
-    rows = staged(with_features(sample, lexicon), "toxicity-features").withColumn("vector", array_to_vector("features"))
+    rows = staged(with_features(sample, lexicon, ["doc_id", "toxic", "fold"]), "toxicity-features").withColumn("vector", array_to_vector("features"))
     classes = {(r.c, r.toxic): r.n for r in rows.groupBy((~fitted).alias("c"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not all(classes.get((False, k)) for k in (0, 1)):
         return Model(lexicon, None, None)
@@ -259,10 +260,19 @@ def fold(id_col: str):
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(FOLDS))
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               threshold: float = THRESHOLD) -> DataFrame:
+    """`docs` without the rows whose text scores `threshold` or more, by a model fitted on `labels`."""
+    model = fit(docs, labels, id_col, text_col)
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # whatever the columns are called
+    scored = model.score(docs.toDF(*plain), plain, plain[docs.columns.index(text_col)])
+    return scored.where(F.col("score") < threshold).select(*plain).toDF(*docs.columns)
+
+
 def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            threshold: float = THRESHOLD) -> DataFrame:
     """(id, held_out, score, predicted) of every document, by a model fitted on `labels`."""
     model = fit(docs, labels, id_col, text_col)
-    scored = model.score(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")))
+    scored = model.score(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")), ["doc_id"])
     return scored.select(F.col("doc_id").alias(id_col), F.coalesce(fold("doc_id") == HELD_OUT, F.lit(False)).alias("held_out"),
                          "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
