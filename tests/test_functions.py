@@ -176,3 +176,48 @@ def test_packed_set_escapes_and_edges(spark):
     assert one(spark, get_field(v, "a.b"), "axb=1|a.b=2") == "2"
     assert one(spark, get_field(v, "b"), "ab=1|b=2") == "2"
     assert one(spark, get_field(v, "b"), None) is None
+
+
+def test_packed_long_records(spark):
+    # entries by the ten thousand, found or not: no regular expression recursion
+    entries = [f"f{i}=v{i}" for i in range(12_000)]
+    long = "|".join(entries)
+    df = spark.createDataFrame([(long,)], "p string")
+    hit, miss, last, name = df.select(
+        set_field("p", "f11999", F.lit("new")), set_field("p", "nowhere", F.lit("x")),
+        get_field("p", "f11999"), get_field("p", "nowhere")).first()
+    assert hit == "|".join([*entries[:-1], "f11999=new"])
+    assert miss == long and last == "v11999" and name is None
+    bars = spark.createDataFrame([("a=1" + "|" * 20_000 + "b=2",)], "p string")
+    assert bars.select(set_field("p", "b", F.lit("3"))).first()[0] == "a=1" + "|" * 20_000 + "b=3"
+
+
+def test_packed_field_boundaries(spark):
+    rows = [("ab=1|b=2|b=3", "b"), ("b|a=1", "b"), ("|b=1", "b"), ("x=b=1", "b"), ("b=1||", "b"), ("a.b=1", "b"), ("", "b"), (None, "b")]
+    for packed, field in rows:
+        df = spark.createDataFrame([(packed,)], "p string")
+        got = df.select(get_field("p", field), set_field("p", field, F.lit("N$1\\"))).first()
+        if packed is None:
+            assert tuple(got) == (None, None)
+            continue
+        parts, value, done = packed.split("|"), None, False
+        for i, part in enumerate(parts):
+            name, eq, rest = part.partition("=")
+            if name == field and value is None and eq:
+                value = rest
+            if name == field and not done:
+                parts[i], done = field + "=N$1\\", True
+        assert tuple(got) == (value, "|".join(parts).rstrip("|")), packed
+
+
+@pytest.mark.parametrize("text,want", [
+    ("2024-01-05 07:05:09.0", "2024-01-05 07:05:09"), ("2024-01-05 07:05:09.123", "2024-01-05 07:05:09"),
+    ("2024-1-5 7:5:9", "2024-01-05 07:05:09"), ("2024-01-05 07:05:09 x", "2024-01-05 07:05:09"),
+    (" 2024-01-05   07:05:09+02:00", "2024-01-05 07:05:09"), ("2024-01-05T07:05:09", None), ("2024/01/05 07:05:09", None),
+    ("2024-02-30 07:05:09", None), ("2024-01-05 25:00:00", None), ("2024-01-05 07:05", None), ("", None), ("x", None), (None, None),
+])
+def test_lenient_times(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t string")
+    got, early, diff = df.select(format_time(parse_time("t")), before("t", F.lit("2030-01-01 0:0:0.5")),
+                                 minus_seconds("t", F.lit("2024-01-05 07:05:00.9"))).first()
+    assert got == want and early is (want is not None) and diff == (9 if want else 0)

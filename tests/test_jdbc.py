@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from visitscope.sources.jdbc import JdbcTarget, read_table, writer
+from visitscope.sources import jdbc
+from visitscope.sources.jdbc import JdbcTarget, append_task_once, read_table, task_rows, writer
 
 
 def test_target_options():
@@ -13,9 +14,72 @@ def test_target_options():
                            "fetchsize": "5"}
 
 
-def test_parallel_read_needs_all_bounds(spark):
-    with pytest.raises(ValueError):
-        read_table(spark, JdbcTarget("jdbc:x://h/db"), "task", partition_column="task_id")
+class Reader:
+    """Stands for a JDBC reader; nothing is opened."""
+
+    def __init__(self):
+        self.options = {}
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self.options
+
+
+class Row(dict):
+    def first(self):
+        return self
+
+
+def test_parallel_read_asks_for_missing_bounds(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(jdbc, "reader", lambda spark, target: Reader())
+    monkeypatch.setattr(jdbc, "read_query", lambda s, t, q: (asked.append(q), Row(lo=3, hi=90))[1])
+    opts = read_table(spark, JdbcTarget("jdbc:x://h/db"), "t", partition_column="id")
+    assert opts["lowerBound"] == "3" and opts["upperBound"] == "90" and int(opts["numPartitions"]) >= 1
+    assert asked == ["SELECT min(id) AS lo, max(id) AS hi FROM t"]
+    opts = read_table(spark, JdbcTarget("jdbc:x://h/db"), "t", partition_column="id", lower_bound=0, upper_bound=9, num_partitions=4)
+    assert opts["numPartitions"] == "4" and len(asked) == 1
+    monkeypatch.setattr(jdbc, "read_query", lambda s, t, q: Row(lo=None, hi=None))
+    assert "partitionColumn" not in read_table(spark, JdbcTarget("jdbc:x://h/db"), "t", partition_column="id")
+
+
+def test_password_stays_out_of_repr():
+    assert "secret" not in repr(JdbcTarget("jdbc:x://h/db", user="u", password="secret"))
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(20,0)"])
+def test_task_key_is_compared_before_the_cast(spark, tmp_path, kind):
+    names = ["task_name", "create_time", "start_time", "finish_time", "task_type", "task_status", "task_param"]
+    stored = spark.range(5).selectExpr(f"cast(id AS {kind}) AS task_id", *(f"'x' AS {n}" for n in names))
+    stored.write.parquet(str(tmp_path / "task"))
+    found = task_rows(spark.read.parquet(str(tmp_path / "task")), 3)
+    assert [r.task_id for r in found.collect()] == [3] and dict(found.dtypes)["task_id"] == "bigint"
+    assert "EqualTo(task_id,3)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_result_rows_are_appended_once(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1, 7)], "metric string, cnt long, task_id long")
+    table, written = {"rows": rows.limit(0)}, []
+    monkeypatch.setattr(jdbc, "read_table", lambda s, t, name: table["rows"])
+    monkeypatch.setattr(jdbc, "write_table", lambda df, t, name, **kw: (written.append(kw), table.update(rows=df)))
+    target = JdbcTarget("jdbc:x://h/db")
+    assert append_task_once(rows, target, "stats", 7) is True
+    assert append_task_once(rows, target, "stats", 7) is False
+    assert written == [{"num_partitions": 1}]
+
+
+def test_writer_shuffles_into_its_partitions(spark):
+    frames = []
+    original = type(spark.range(1)).write
+    assert original is not None
+    df = spark.range(0, 100, 1, 8)
+    w = writer(df, JdbcTarget("jdbc:x://h/db"), "t", num_partitions=3)
+    frames.append(w._df)
+    plan = frames[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 3, true" in plan
 
 
 def test_writer_is_lazy(spark):

@@ -210,3 +210,134 @@ def test_session_bucketed_table_needs_no_session_shuffle(spark, tmp_path):
         assert stats_dict(session_stats(catalog, DAY, DAY)) == stats_dict(session_stats(frame, DAY, DAY))
     finally:
         spark.sql("DROP TABLE IF EXISTS uva_bucketed")
+
+
+def test_fraction_in_time_text_keeps_the_visit_band(spark):
+    for end in ("", ".0", ".123", " x"):
+        rows = [action("s", 1, f"2018-04-09 7:05:{sec:02d}{end}") for sec in (9, 29)]
+        stats = stats_dict(session_stats(source(spark, rows, [user(1)]), DAY, DAY))
+        assert stats["10s_30s"] == 1 and stats["session_count"] == 1, end
+
+
+def test_unparsed_times_are_counted(spark):
+    from visitscope.sources.tables import unparsed_times
+
+    rows = [action("s", 1, t) for t in ("2018-04-09 7:05:09.5", "2018-02-30 7:05:09", "soon", None)]
+    found = unparsed_times(source(spark, rows, [user(1)]).action_rows).first()
+    assert tuple(found) == (4, 2)
+
+
+def test_list_rollup_sends_values_not_pairs(spark):
+    from visitscope.operators.rollup import session_records, session_values
+
+    rows = [action("s", 1, at(i), keyword=f"k{i % 200}", category=(i * 7 + i // 200) % 200) for i in range(2000)]
+    rows += [action("s", 1, at(3000)), action("s", 1, at(3001), keyword="k0"), action("t", 2, at(0), keyword="")]
+    actions = source(spark, rows, [user(1)]).actions(DAY, DAY)
+    counts = {r["session_id"]: r["count"] for r in session_values(actions).groupBy("session_id").count().collect()}
+    assert counts == {"s": 401, "t": 1}
+    assert session_values(actions, categories=False).where("session_id = 's'").count() == 201
+    record = {r.session_id: r for r in session_records(actions).collect()}
+    assert record["s"].step_length == 2002 and len(record["s"].search_keywords) == 200 and len(record["s"].click_category_ids) == 200
+    assert record["s"].visit_length == 3001 and record["t"].search_keywords == [] and record["t"].step_length == 1
+
+
+def test_every_day_counts_without_a_range(spark):
+    rows = [action("s", 1, at(0)), action("old", 1, "1999-12-31 7:00:00", date="1999-12-31"),
+            action("new", 1, "2031-02-01 7:00:00", date="2031-02-01")]
+    src = source(spark, rows, [user(1)])
+    assert stats_dict(session_stats(src))["session_count"] == 3
+    assert stats_dict(session_stats(src, DAY, DAY))["session_count"] == 1
+
+
+@pytest.mark.parametrize("start,end", [("2018-04-10", "2018-04-09"), ("2018-04-09", None), (None, "2018-04-09"), ("x", "2018-04-09")])
+def test_every_source_checks_the_range_alike(spark, start, end):
+    rows = [action("s", 1, at(0))]
+    frame = source(spark, rows, [user(1)])
+    register_views(spark, frame.action_rows, frame.user_rows)
+    for src in (frame, CatalogSource(spark), GeneratedSource(spark, SF001)):
+        with pytest.raises(ValueError):
+            src.actions(start, end)
+
+
+def test_rewritten_folder_is_read_anew(spark, tmp_path):
+    from visitscope.sources.testdata import read_table
+
+    for columns in (["a"], ["a", "b"]):
+        spark.createDataFrame([tuple(range(len(columns)))], columns).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        assert read_table(spark, str(tmp_path), "events").columns == columns
+
+
+def test_checkpoint_runs_the_plan_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    df = spark.range(50).repartition(3).mapInPandas(lambda frames: (f for f in frames if seen.add(len(f)) is None), "id long")
+    assert materialize(df, "checkpoint").count() == 50
+    assert seen.value == 50
+
+
+def test_cli_runs_the_job_once(spark, tmp_path, monkeypatch):
+    import visitscope.cli as cli
+
+    runs, real = [], cli.analyze_task
+
+    def analysed(*args):
+        df = real(*args)
+        monkeypatch.setattr(type(df), "collect", lambda self, own=type(df).collect: (runs.append(self), own(self))[1])
+        return df
+
+    monkeypatch.setattr(cli, "analyze_task", analysed)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        cli_main(["--task-id", "12", "--sf-dir", SF001, "--output", str(tmp_path / "stats")])
+    written = spark.read.parquet(str(tmp_path / "stats"))
+    assert len(runs) == 1
+    monkeypatch.undo()
+    # What is written is the collected rows, not the plan over the events.
+    assert sorted(map(tuple, written.collect())) == sorted(
+        (line.split("\t")[0], int(line.split("\t")[1])) for line in out.getvalue().splitlines() if "\t" in line)
+
+
+def test_category_ids_are_numbers(spark):
+    from visitscope.operators.filters import category_hit
+
+    hit = category_hit(FilterSpec.of(category_ids="7,007,x,8,99999999999999999999"))
+    df = spark.createDataFrame([(7,), (8,), (9,), (None,)], "click_category_id long").select(hit.alias("h"))
+    assert [r.h for r in df.collect()] == [True, True, False, None]
+    assert "cast(click_category_id" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    nothing = spark.range(1).selectExpr("7L AS click_category_id").select(category_hit(FilterSpec.of(category_ids="x")).alias("h"))
+    assert nothing.first().h is False
+
+
+def test_all_six_filters_bite(spark):
+    from conftest import SF01
+    from visitscope.plans.catalog import ALL_SIX
+    from visitscope.plans.job import filtered_sessions
+
+    src = GeneratedSource(spark, SF01)
+    every = filtered_sessions(src, spec=FilterSpec.of(**ALL_SIX)).count()
+    assert every > 0
+    for left_out in ({"start_age", "end_age"}, {"professionals"}, {"cities"}, {"sex"}, {"keywords"}, {"category_ids"}):
+        spec = FilterSpec.of(**{k: v for k, v in ALL_SIX.items() if k not in left_out})
+        assert filtered_sessions(src, spec=spec).count() > every, left_out
+
+
+def test_match_report_drops_sessions(spark):
+    from visitscope.plans.catalog import session_user_join_unmatched
+
+    report = session_user_join_unmatched(spark, SF001).first()
+    assert report.dropped > 0 and report.matched > 0 and report.sessions == report.matched + report.dropped
+
+
+def test_session_choice(spark, monkeypatch):
+    from pyspark.sql import SparkSession
+    from visitscope.sources.tables import session
+
+    hive = []
+    monkeypatch.setattr(SparkSession.Builder, "enableHiveSupport", lambda self: (hive.append(1), self)[1])
+    assert session() is spark and not hive
+    assert session(hive=True) is spark and hive

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from conftest import SF001
 from visitscope.plans import catalog
 from visitscope.plans.job import session_stat_slots
@@ -58,15 +59,30 @@ def test_no_python_udf_in_any_query(spark):
 
 
 def test_list_building_spreads_hot_sessions(spark):
-    # one scan; first exchange on (session, keyword, category), then on session;
-    # no join between separately built parts
-    for name in ("session_keywords", "session_categories", "session_aggregate"):
-        _check_two_levels(formatted(catalog.QUERIES[name](spark, SF001)))
-
-
-def _check_two_levels(text: str) -> None:
-    assert "hashpartitioning(session_id#" in text
-    import re
-    assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 1
-    assert "Join" not in text
-    assert re.search(r"hashpartitioning\(session_id#\d+, keyword#\d+, category#\d+L?, ", text)
+    # one scan; first exchange on (session, value), then on session;
+    # no join between separately built parts; one list expands its own kind only
+    for name, keys in {"session_keywords": ["keyword"], "session_categories": ["category"], "trim_comma": ["keyword"],
+                       "session_aggregate": ["keyword", "category"]}.items():
+        text = formatted(catalog.QUERIES[name](spark, SF001))
+        assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 1
+        assert "Join" not in text
+        first, last = re.findall(r"hashpartitioning\(([^)]*?), \d+\)", text)[:2]
+        assert re.sub(r"#\d+L?", "", first) == ", ".join(["session_id", *keys]), name
+        assert re.sub(r"#\d+L?", "", last) == "session_id", name
+
+
+def test_sample_row_scans_one_narrow_column(spark):
+    text = formatted(catalog.QUERIES["table_sample_row"](spark, SF001))
+    assert "EqualNullSafe(ts," in text or "EqualTo(ts," in text
+    assert "EqualNullSafe(c_custkey," in formatted(catalog.QUERIES["user_info_sample_row"](spark, SF001)).replace("EqualTo", "EqualNullSafe")
+
+
+def test_no_query_but_the_ranges_reads_a_window(spark):
+    for name, fn in catalog.QUERIES.items():
+        windowed = "GreaterThanOrEqual(ts," in formatted(fn(spark, SF001))
+        assert windowed == (name in ("action_date_range", "task_session_stat")), name
+
+
+def test_packed_get_runs_one_expression_a_field(spark):
+    plan = catalog.packed_get(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") + plan.count("regexp_substr") <= 4 and "RLIKE" not in plan

@@ -16,12 +16,12 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .plans.job import analyze_task
 from .session import configure
-from .sources.jdbc import JdbcTarget, read_tasks, write_table
-from .sources.tables import CatalogSource
+from .sources.jdbc import JdbcTarget, append_task_once, read_tasks
+from .sources.tables import CatalogSource, session
 from .sources.testdata import GeneratedSource
 
 
@@ -44,36 +44,34 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
-    builder = SparkSession.builder.appName(f"visitscope-task-{args.task_id}")
-    if args.hive:
-        builder = builder.enableHiveSupport()
-    spark = configure(builder.getOrCreate())
+    spark = configure(session(args.hive, f"visitscope-task-{args.task_id}"))
 
+    if args.output_jdbc_table and not args.tasks_jdbc_url:
+        raise SystemExit("--output-jdbc-table needs --tasks-jdbc-url")
     target = None
     if args.tasks_jdbc_url:
         target = JdbcTarget(args.tasks_jdbc_url, args.jdbc_user, args.jdbc_password, args.jdbc_driver)
 
     if args.sf_dir:
         source = GeneratedSource(spark, args.sf_dir)
-        tasks = read_tasks(spark, target, args.tasks_table) if target else source.tasks()
+        tasks = read_tasks(spark, target, args.tasks_table, args.task_id) if target else source.tasks()
     else:
         if target is None:
             raise SystemExit("--tasks-jdbc-url is required unless --sf-dir is given")
         source = CatalogSource(spark, args.actions_table, args.users_table)
-        tasks = read_tasks(spark, target, args.tasks_table)
+        tasks = read_tasks(spark, target, args.tasks_table, args.task_id)
 
     stats = analyze_task(source, tasks, args.task_id)
-    # 16 rows: small and bounded, safe to show on the driver
-    for row in stats.collect():
+    # 16 rows: bounded, so the job runs once and every sink is fed from them.
+    rows = stats.collect()
+    for row in rows:
         print(f"{row['metric']}\t{row['cnt']}")
+    result = spark.createDataFrame(rows, stats.schema).coalesce(1)
     if args.output:
-        stats.coalesce(1).write.mode("overwrite").parquet(args.output)
-    if args.output_jdbc_table:
-        if target is None:
-            raise SystemExit("--output-jdbc-table needs --tasks-jdbc-url")
-        from pyspark.sql import functions as F
-        write_table(stats.withColumn("task_id", F.lit(args.task_id)), target,
-                    args.output_jdbc_table, num_partitions=1)
+        result.write.mode("overwrite").parquet(args.output)
+    if args.output_jdbc_table and not append_task_once(
+            result.withColumn("task_id", F.lit(args.task_id).cast("bigint")), target, args.output_jdbc_table, args.task_id):
+        print(f"{args.output_jdbc_table} has the rows of task {args.task_id}; none were added")
 
 
 if __name__ == "__main__":

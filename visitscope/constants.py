@@ -72,8 +72,9 @@ FIELD_SEX = "sex"
 # --- fixed values: text formats of dates and times ---
 DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-# Parsing accepts a one-digit hour (`2018-04-09 7:05:09`) as well as two.
-TIME_PARSE_FORMAT = "yyyy-MM-dd H:mm:ss"
+# Parsing takes the leading part of a text; its parts may have one digit (`2018-4-9 7:5:9`).
+TIME_PREFIX = r"^\s*(\d{1,4}-\d{1,2}-\d{1,2} +\d{1,2}:\d{1,2}:\d{1,2})"
+TIME_PARSE_FORMAT = "y-M-d H:m:s"
 DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"
 
 PACKED_FIELD_SEP = "|"

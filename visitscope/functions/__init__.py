@@ -1,7 +1,7 @@
 """Column-level helpers (dates, text, packed records) as built-in expressions."""
 
 from .packed import get_field, pack, set_field
-from .text import blank_to_null, is_not_blank, pad_two, round_half_up, trim_comma
+from .text import blank_to_null, pad_two, round_half_up, trim_comma
 from .timefmt import (
     after,
     before,
@@ -18,7 +18,7 @@ from .timefmt import (
 
 __all__ = [
     "after", "before", "blank_to_null", "date_hour", "format_date", "format_time",
-    "get_field", "is_not_blank", "minus_seconds", "pack", "pad_two", "parse_time",
+    "get_field", "minus_seconds", "pack", "pad_two", "parse_time",
     "round_half_up", "seconds_between", "set_field", "to_action_time", "today_date",
     "trim_comma", "yesterday_date",
 ]

@@ -1,8 +1,8 @@
 """Column codec for packed `k=v|k=v` text.
 
 Typed columns are the working form; packed text exists only as an
-input/output format. Reading and rewriting a field are anchored regular
-expressions and packing is `concat_ws`: built-in, code-generated
+input/output format. A field is found by a regular expression without
+repeated groups and packing is `concat_ws`: built-in, code-generated
 expressions, with no per-row array and no lambda.
 """
 
@@ -32,11 +32,10 @@ def get_field(packed: Column | str, field: str) -> Column:
 
     The value is everything after the first `=` up to the next `|`;
     repeated names are allowed (first wins), unlike `str_to_map`, which
-    raises on them. A codegen'd regular expression, no array is built.
+    raises on them. One pass of a code-generated regular expression, no array.
     """
-    c = _col(packed)
-    pattern = "(?:^|\\|)" + _quoted(field) + "=([^|]*)"
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
+    entry = F.regexp_substr(_col(packed), F.lit("(?<![^|])" + _quoted(field) + "=[^|]*"))
+    return F.substr(entry, F.lit(len(field) + 2))
 
 
 def set_field(packed: Column | str, field: str, value: Column | str) -> Column:
@@ -44,18 +43,16 @@ def set_field(packed: Column | str, field: str, value: Column | str) -> Column:
 
     Order is kept and an unknown field leaves the entries as they are; as
     with a plain split and join, empty entries at the end are dropped. The
-    anchored pattern consumes whole entries lazily, so only the first entry
-    whose name is `field` is rewritten.
+    entry is found by its boundary and spliced out, so a record may have any
+    number of entries.
     """
     c = _col(packed)
     new_value = F.lit(value) if isinstance(value, str) else value.cast("string")
-    # `$` and `\` are special in a replacement text
-    escaped = F.regexp_replace(new_value, "([\\\\$])", "\\\\$1")
-    literal_field = field.replace("\\", "\\\\").replace("$", "\\$")
-    pattern = "^((?:[^|]*+\\|)*?)" + _quoted(field) + "(?:=[^|]*)?(?=\\||\\z)"
-    replaced = F.regexp_replace(c, F.lit(pattern),
-                                F.concat(F.lit("$1" + literal_field + PACKED_KV_SEP), escaped))
-    return F.regexp_replace(replaced, "\\|+\\z", "")
+    begin = F.regexp_instr(c, F.lit("(?<![^|])" + _quoted(field) + "(?=[=|]|\\z)"))
+    bar = F.position(F.lit(PACKED_FIELD_SEP), c, begin + len(field))
+    end = F.when(bar > 0, bar).otherwise(F.length(c) + 1)
+    spliced = F.concat(F.substr(c, F.lit(1), begin - 1), F.lit(field + PACKED_KV_SEP), new_value, F.substr(c, end))
+    return F.rtrim(F.when(begin > 0, spliced).otherwise(c), F.lit(PACKED_FIELD_SEP))
 
 
 def pack(fields: Iterable[tuple[str, Column | str]]) -> Column:

@@ -20,11 +20,6 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
-def is_not_blank(c: Column | str) -> Column:
-    c = _col(c)
-    return c.isNotNull() & (c != F.lit(""))
-
-
 def trim_comma(c: Column | str) -> Column:
     """Drop one leading and one trailing comma, nothing more (C11).
 

@@ -1,7 +1,10 @@
 """Date and time helpers as column expressions (JVM-side, codegen'd).
 
-Text times use `yyyy-MM-dd HH:mm:ss`; parsing also accepts a one-digit
-hour. Bad text never raises: comparisons give false and differences 0.
+Text times use `yyyy-MM-dd HH:mm:ss`; parsing reads the leading date and
+time, takes parts of one or two digits and ignores what follows (a
+fraction, a zone, words). Bad text never raises: comparisons give false and
+differences 0. A day or time that does not exist (`2024-02-30`, `25:00:00`)
+is bad text; it is not carried over into the next month or day.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import DATE_FORMAT, DATE_HOUR_FORMAT, TIME_FORMAT, TIME_PARSE_FORMAT
+from ..constants import DATE_FORMAT, DATE_HOUR_FORMAT, TIME_FORMAT, TIME_PARSE_FORMAT, TIME_PREFIX
 
 _INT_MIN, _INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
@@ -20,7 +23,8 @@ def _col(c: Column | str) -> Column:
 
 def parse_time(text: Column | str) -> Column:
     """Text to timestamp; null when the text is not a time."""
-    return F.try_to_timestamp(_col(text), F.lit(TIME_PARSE_FORMAT))
+    prefix = F.regexp_extract(_col(text), TIME_PREFIX, 1)
+    return F.try_to_timestamp(F.regexp_replace(prefix, " +", " "), F.lit(TIME_PARSE_FORMAT))
 
 
 def before(time1: Column | str, time2: Column | str) -> Column:

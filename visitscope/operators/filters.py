@@ -11,6 +11,7 @@ or as list overlaps when the lists are already built.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -115,13 +116,15 @@ def keyword_hit(spec: FilterSpec) -> Column | None:
 
 
 def category_hit(spec: FilterSpec) -> Column | None:
-    """This action clicked one of the task's categories (for `bool_or`, F6).
-
-    Ids are compared as their decimal text, as given in the task.
-    """
+    """This action clicked one of the task's categories (for `bool_or`, F6)."""
     if not spec.category_ids:
         return None
-    return F.col("click_category_id").cast("string").isin(*spec.category_ids)
+    return F.col("click_category_id").isin(*_numbers(spec.category_ids))
+
+
+def _numbers(ids: tuple[str, ...]) -> list[int]:
+    """Category ids as numbers, once for the whole table; a text that is no bigint's decimal text matches no id."""
+    return [int(i) for i in ids if re.fullmatch("0|-?[1-9][0-9]{0,18}", i) and -2**63 <= int(i) < 2**63]
 
 
 def session_hit_aggregates(spec: FilterSpec) -> list[Column]:
@@ -160,9 +163,8 @@ def category_list_predicate(spec: FilterSpec, column: str = "click_category_ids"
     """Session's category list shares a value with the task's list."""
     if not spec.category_ids:
         return None
-    as_text = F.col(column).cast("array<string>")
-    return F.coalesce(F.arrays_overlap(as_text, F.array(*[F.lit(c) for c in spec.category_ids])),
-                      F.lit(False))
+    wanted = F.array(*[F.lit(c) for c in _numbers(spec.category_ids)]).cast("array<bigint>")
+    return F.coalesce(F.arrays_overlap(F.col(column), wanted), F.lit(False))
 
 
 def session_list_predicate(spec: FilterSpec) -> Column:

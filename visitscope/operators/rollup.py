@@ -6,9 +6,11 @@ Plan shape, and why it holds when one session owns a large share of rows:
   (min / max / count / bool_or). Spark runs a partial aggregate before the
   shuffle, so a hot session leaves each map task as one small row.
 * `session_records` also builds the distinct keyword and category lists.
-  Its first level is keyed by (session, keyword, category), so the values
-  of a hot session spread across all reducers; only the distinct values
-  of a session meet in one task, never its action rows.
+  Every action is expanded to one statistics row and one row for each value
+  it carries, and the first level is keyed by (session, value): the values
+  of a hot session spread over all reducers, and the last level receives
+  K + C + 1 rows of a session with K keywords and C categories, never
+  their pairs and never its action rows.
 """
 
 from __future__ import annotations
@@ -20,8 +22,6 @@ from ..functions.text import blank_to_null
 from ..functions.timefmt import format_time, seconds_between
 from .filters import FilterSpec, session_hit_aggregates
 
-CORE_COLUMNS = ["session_id", "user_id", "start_ts", "end_ts", "visit_length", "step_length"]
-
 
 def session_core(actions: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
     """Owner, start, end, visit length and step length per session.
@@ -44,38 +44,49 @@ def session_core(actions: DataFrame, spec: FilterSpec | None = None) -> DataFram
     return rolled.withColumn("visit_length", seconds_between("start_ts", "end_ts"))
 
 
-def session_records(actions: DataFrame) -> DataFrame:
-    """Full session record with typed, sorted, distinct lists.
+def session_values(actions: DataFrame, keywords: bool = True, categories: bool = True) -> DataFrame:
+    """One row per session and distinct value, and one without a value that carries its statistics.
 
-    Columns: session_id, user_id, search_keywords array<string>,
-    click_category_ids array<bigint>, visit_length, step_length,
-    start_ts, end_ts.
-
-    Two aggregation levels, one scan, no join: first by (session, keyword,
-    category) -- the rows of a hot session spread over all reducers by their
-    values, and rows without either value collapse map-side -- then by
-    session, merging the per-value minima, maxima and counts and collecting
-    the distinct values. Only distinct values of one session ever meet in
-    one task.
+    Columns: session_id, keyword and category as asked for, user_id, start_ts,
+    end_ts, steps; the last four are null (0 for steps) on rows that carry a value.
     """
-    keyed = actions.select(
+    kinds = {"keyword": "STRING"} if keywords else {}
+    kinds |= {"category": "BIGINT"} if categories else {}
+    rows = [", ".join([*(f"CAST(NULL AS {t})" for t in kinds.values()), "user_id, action_time, 1"])]
+    rows += [", ".join([*(k if k == kind else "NULL" for k in kinds), "NULL, NULL, 0"]) for kind in kinds]
+    names = ", ".join([*kinds, "user_id", "at", "step"])
+    expanded = actions.select(
         "session_id", "user_id", "action_time",
         blank_to_null("search_keyword").alias("keyword"),
         F.col("click_category_id").alias("category"),
-    )
-    per_value = keyed.groupBy("session_id", "keyword", "category").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("action_time").alias("start_ts"),
-        F.max("action_time").alias("end_ts"),
-        F.count(F.lit(1)).alias("steps"),
-    )
+    ).selectExpr("session_id", f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
+    return (expanded.where(" OR ".join(["step = 1", *(f"{k} IS NOT NULL" for k in kinds)]))
+            .groupBy("session_id", *kinds)
+            .agg(F.min("user_id").alias("user_id"), F.min("at").alias("start_ts"),
+                 F.max("at").alias("end_ts"), F.sum("step").alias("steps")))
+
+
+def session_records(actions: DataFrame, keywords: bool = True, categories: bool = True) -> DataFrame:
+    """Full session record with typed, sorted, distinct lists.
+
+    Columns: session_id, user_id, search_keywords array<string>,
+    click_category_ids array<bigint>, visit_length, step_length,
+    start_ts, end_ts. A list that is not asked for is left empty, and its
+    values are never expanded.
+
+    One scan, two aggregation levels, no join: `session_values`, then by
+    session.
+    """
     # collect_list (not collect_set): a duplicate-sensitive aggregate keeps the
     # optimizer from dropping the first level as redundant, which would send
     # every partial list of a hot session to one reducer.
-    rolled = per_value.groupBy("session_id").agg(
+    def distinct(asked: bool, column: str, kind: str) -> Column:
+        return F.sort_array(F.collect_list(column)) if asked else F.array().cast(f"array<{kind}>")
+
+    rolled = session_values(actions, keywords, categories).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
-        F.sort_array(F.array_distinct(F.collect_list("keyword"))).alias("search_keywords"),
-        F.sort_array(F.array_distinct(F.collect_list("category"))).alias("click_category_ids"),
+        distinct(keywords, "keyword", "string").alias("search_keywords"),
+        distinct(categories, "category", "bigint").alias("click_category_ids"),
         F.min("start_ts").alias("start_ts"),
         F.max("end_ts").alias("end_ts"),
         F.sum("steps").alias("step_length"),

@@ -1,8 +1,9 @@
 """One sample row of a table (L1).
 
-The row is the first in a total order over all its columns, so repeated
-runs return the same row; Spark plans this as a per-partition top-1 and
-a merge of those candidates (no full sort, no shuffle of the table).
+The row is the first by one stored key, ties by all columns, so repeated
+runs return the same row. The key's least value is found in a scan of that
+one column; the rows that have it are then fetched by an equality, which
+reaches the scan.
 """
 
 from __future__ import annotations
@@ -11,6 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sample_row(df: DataFrame) -> DataFrame:
-    order = [F.col(c).asc_nulls_first() for c in df.columns]
-    return df.orderBy(*order).limit(1)
+def least_rows(df: DataFrame, key: str) -> DataFrame:
+    """The rows of `df` whose `key` is least; those without a key where no row has one.
+
+    The one value travels as text: a Python time would be read in the zone of
+    the Python process.
+    """
+    least = df.agg(F.min(key).cast("string")).first()[0]
+    return df.where(F.col(key).eqNullSafe(F.lit(least).cast(df.schema[key].dataType)))
+
+
+def sample_row(df: DataFrame, key: str | None = None) -> DataFrame:
+    """The first row of `df` by `key` (by the columns' order without one), ties by all columns."""
+    rows = least_rows(df, key) if key else df
+    return rows.orderBy(*(F.col(c).asc_nulls_first() for c in rows.columns)).limit(1)

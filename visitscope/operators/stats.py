@@ -51,12 +51,6 @@ def slot_sums() -> list[Column]:
             for i in range(len(METRICS))]
 
 
-def stat_slots(sessions: DataFrame) -> DataFrame:
-    """One row of 16 slot counts straight from session rows."""
-    return sessions.agg(*slot_counts()).selectExpr(
-        *[f"CAST({_slot(i)} AS BIGINT) AS {_slot(i)}" for i in range(len(METRICS))])
-
-
 def slots_to_long(slots: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """One slot row to `(metric string, cnt bigint)` rows, declaration order."""
     wanted = metrics or METRICS
@@ -64,11 +58,6 @@ def slots_to_long(slots: DataFrame, metrics: list[str] | None = None) -> DataFra
     return slots.selectExpr(f"stack({len(wanted)}, {pairs}) as (metric, cnt)")
 
 
-def slots_to_wide(slots: DataFrame) -> DataFrame:
-    """One slot row with the metric names as column names."""
-    return slots.selectExpr(*[f"{_slot(i)} AS `{m}`" for i, m in enumerate(METRICS)])
-
-
 def slots_to_packed(slots: DataFrame) -> DataFrame:
     """One row, one text column: `session_count=…|1s_3s=…|…|60=…`."""
     parts = ", ".join(f"'{m}=' || CAST({_slot(i)} AS STRING)" for i, m in enumerate(METRICS))

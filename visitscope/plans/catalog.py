@@ -1,12 +1,9 @@
 """Registered queries: one per operator, each `(spark, sf_dir) -> DataFrame`.
 
 Every query reads the generated tables in `sf_dir` (through the views of
-`sources.testdata`) over their whole extent. The analysis window of the
-session queries is the month the generated events cover, January 2024,
-so every event takes part; the window is still applied (and pushed into
-the scan) as in any task. `action_date_range` reads one week, because the
-range itself is what that operator is about, and `task_session_stat`
-uses the window stored in its task.
+`sources.testdata`) over their whole extent. Only `action_date_range` and
+`task_session_stat` read a date window, because there it is the feature:
+one week, and the window stored in the task.
 Output columns are plain text / integers so that results compare by
 value with the SQL statements in `plans.oracle`.
 """
@@ -51,9 +48,7 @@ from ..sources.testdata import GeneratedSource, read_table
 from .job import analyze_task, filtered_sessions, session_stats, session_stats_packed
 from .params import find_task, parse_task_params
 
-# Analysis window and filter values of the registered queries (task parameters).
-START_DATE = "2024-01-01"
-END_DATE = "2024-01-31"
+# Filter values of the registered queries (task parameters).
 RANGE_START = "2024-01-05"
 RANGE_END = "2024-01-11"
 LOOKUP_TASK_ID = 42
@@ -61,6 +56,12 @@ TASK_STAT_ID = 12
 FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
 FIRST_NATIONS = tuple(sorted(f"NATION_{i}" for i in range(25))[:15])
 KEYWORDS = ("kw1", "kw2", "kw3")
+# All six filters together; each one changes the result at every scale from 0.01 on.
+ALL_SIX = {
+    "start_age": 5, "end_age": 54, "professionals": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"),
+    "cities": tuple(f"NATION_{i}" for i in range(18)), "sex": "male",
+    "keywords": tuple(f"kw{i}" for i in range(1, 6)), "category_ids": tuple(str(i) for i in range(80)),
+}
 CATEGORIES = tuple(str(i) for i in range(50))
 
 SPECS = {
@@ -70,8 +71,7 @@ SPECS = {
     "filter_sex": FilterSpec.of(sex="male"),
     "filter_keywords": FilterSpec.of(keywords=KEYWORDS),
     "filter_categories": FilterSpec.of(category_ids=CATEGORIES),
-    "session_filter": FilterSpec.of(start_age=10, end_age=40, professionals=FIRST_SEGMENTS,
-                                    cities=FIRST_NATIONS, keywords=KEYWORDS),
+    "session_filter": FilterSpec.of(**ALL_SIX),
 }
 VISIT_METRICS = [b[0] for b in VISIT_BANDS]
 STEP_METRICS = [b[0] for b in STEP_BANDS]
@@ -84,10 +84,6 @@ def _src(spark: SparkSession, sf_dir: str) -> GeneratedSource:
     return GeneratedSource(spark, sf_dir)
 
 
-def _window_actions(spark, sf_dir) -> DataFrame:
-    return _src(spark, sf_dir).actions(START_DATE, END_DATE)
-
-
 def _all_actions(spark, sf_dir) -> DataFrame:
     return _src(spark, sf_dir).actions()
 
@@ -125,49 +121,49 @@ def task_params(spark, sf_dir):
 
 
 def table_sample_row(spark, sf_dir):
-    """L1: one (repeatable) row of the action table.
+    """L1: one (repeatable) row of the action table, of the earliest stored time.
 
     Ordered on the typed columns and formatted afterwards: zero-padded
     date / time text sorts exactly like the values, so only the chosen row
     is turned into text.
     """
-    return _action_text(sample_row(_all_actions(spark, sf_dir)))
+    return _action_text(sample_row(_src(spark, sf_dir).earliest_actions()))
 
 
 def user_info_sample_row(spark, sf_dir):
     """L1: one (repeatable) row of the profile table."""
-    return sample_row(_src(spark, sf_dir).users())
+    return sample_row(_src(spark, sf_dir).users(), "user_id")
 
 
 def product_info_sample_row(spark, sf_dir):
     """L1: one (repeatable) row of the product table (S4 view over `part`)."""
-    return sample_row(_src(spark, sf_dir).products())
+    return sample_row(_src(spark, sf_dir).products(), "product_id")
 
 
 # ---------------- session roll-up ----------------
 
 def session_aggregate(spark, sf_dir):
-    """One row per session of the window."""
-    return session_records_text(_window_actions(spark, sf_dir))
+    """One row per session."""
+    return session_records_text(_all_actions(spark, sf_dir))
 
 
 def session_keywords(spark, sf_dir):
     """A4: distinct searched keywords per session."""
-    rec = session_records(_window_actions(spark, sf_dir))
+    rec = session_records(_all_actions(spark, sf_dir), categories=False)
     return rec.select("session_id", list_text("search_keywords").alias("search_keywords"),
                       F.size("search_keywords").cast("bigint").alias("keyword_count"))
 
 
 def session_categories(spark, sf_dir):
     """A5: distinct clicked categories per session."""
-    rec = session_records(_window_actions(spark, sf_dir))
+    rec = session_records(_all_actions(spark, sf_dir), keywords=False)
     return rec.select("session_id", list_text("click_category_ids").alias("click_category_ids"),
                       F.size("click_category_ids").cast("bigint").alias("category_count"))
 
 
 def session_visit_length(spark, sf_dir):
     """Start, end and whole-second length of each session."""
-    core = session_core(_window_actions(spark, sf_dir))
+    core = session_core(_all_actions(spark, sf_dir))
     return core.select("session_id", format_time("start_ts").alias("start_time"),
                        format_time("end_ts").alias("end_time"), "visit_length",
                        visit_band().alias("visit_band"))
@@ -175,7 +171,7 @@ def session_visit_length(spark, sf_dir):
 
 def session_step_length(spark, sf_dir):
     """Action rows per session."""
-    core = session_core(_window_actions(spark, sf_dir))
+    core = session_core(_all_actions(spark, sf_dir))
     return core.select("session_id", "step_length", step_band().alias("step_band"))
 
 
@@ -184,13 +180,13 @@ def session_step_length(spark, sf_dir):
 def session_user_join(spark, sf_dir):
     """Session records with the owner's profile."""
     src = _src(spark, sf_dir)
-    return attach_profile(session_records_text(src.actions(START_DATE, END_DATE)), src.users())
+    return attach_profile(session_records_text(src.actions()), src.users())
 
 
 def session_user_join_unmatched(spark, sf_dir):
-    """Sessions the profile join keeps and drops (owner without profile)."""
+    """Sessions that a join to the supplier profiles keeps and drops (owner without profile)."""
     src = _src(spark, sf_dir)
-    return match_report(session_core(src.actions(START_DATE, END_DATE)), src.users())
+    return match_report(session_core(src.actions()), src.supplier_users())
 
 
 # ---------------- filters ----------------
@@ -199,7 +195,7 @@ def _filter_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     spec = SPECS[name]
 
     def run(spark, sf_dir):
-        return filtered_sessions(_src(spark, sf_dir), START_DATE, END_DATE, spec)
+        return filtered_sessions(_src(spark, sf_dir), spec=spec)
 
     run.__name__ = name
     run.__doc__ = f"F1-F7: sessions passing {spec}"
@@ -209,28 +205,28 @@ def _filter_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 # ---------------- statistics ----------------
 
 def session_aggr_stat(spark, sf_dir):
-    """A9-A12 (flagship): the 16 counters of all sessions of the window."""
-    return session_stats(_src(spark, sf_dir), START_DATE, END_DATE)
+    """A9-A12 (flagship): the 16 counters of all sessions."""
+    return session_stats(_src(spark, sf_dir))
 
 
 def session_aggr_stat_filtered(spark, sf_dir):
-    """A9-A12 with age, profession, city and keyword filters."""
-    return session_stats(_src(spark, sf_dir), START_DATE, END_DATE, SPECS["session_filter"])
+    """A9-A12 with all six filters."""
+    return session_stats(_src(spark, sf_dir), spec=SPECS["session_filter"])
 
 
 def visit_length_bands(spark, sf_dir):
     """A10: sessions per visit-length band."""
-    return session_stats(_src(spark, sf_dir), START_DATE, END_DATE, metrics=VISIT_METRICS)
+    return session_stats(_src(spark, sf_dir), metrics=VISIT_METRICS)
 
 
 def step_length_bands(spark, sf_dir):
     """Sessions per step-length band."""
-    return session_stats(_src(spark, sf_dir), START_DATE, END_DATE, metrics=STEP_METRICS)
+    return session_stats(_src(spark, sf_dir), metrics=STEP_METRICS)
 
 
 def session_stat_packed(spark, sf_dir):
     """The counters as one packed text."""
-    return session_stats_packed(_src(spark, sf_dir), START_DATE, END_DATE)
+    return session_stats_packed(_src(spark, sf_dir))
 
 
 def task_session_stat(spark, sf_dir):
@@ -241,21 +237,37 @@ def task_session_stat(spark, sf_dir):
 
 # ---------------- column functions over the action table ----------------
 
+def _time_texts(spark, sf_dir) -> DataFrame:
+    """Action times as text in ten forms, by page: lenient, padded, and three that are no times."""
+    padded, day = format_time("action_time"), format_date("date")
+    clock = F.date_format("action_time", "HH:mm:ss")
+    forms = [
+        F.date_format("action_time", UNPADDED_TIME),
+        F.concat(padded, F.lit(".0")),
+        F.concat(padded, F.lit(".123")),
+        F.date_format("action_time", "y-M-d H:m:s"),
+        F.concat(padded, F.lit(" x")),
+        F.date_format("action_time", "yyyy/MM/dd HH:mm:ss"),
+        F.concat(F.lit("2024-02-30 "), clock),
+        F.concat(F.lit(" "), day, F.lit("  "), clock),
+        F.concat(day, F.lit("T"), clock),
+    ]
+    text = F.when(F.lit(False), padded)
+    for page, form in enumerate(forms):
+        text = text.when(F.col("page_id") == page, form)
+    return _all_actions(spark, sf_dir).select("date", text.otherwise(padded).alias("action_time_text"))
+
+
 def time_parse(spark, sf_dir):
-    """Parse time text with one- or two-digit hours."""
-    a = _all_actions(spark, sf_dir).select(
-        F.date_format("action_time", UNPADDED_TIME).alias("action_time_text"))
+    """Parse time text with one- or two-digit parts and whatever follows."""
     parsed = parse_time("action_time_text")
-    return a.select("action_time_text",
-                    F.unix_timestamp(parsed).alias("epoch_seconds"),
-                    format_time(parsed).alias("normalized"))
+    return _time_texts(spark, sf_dir).select(
+        "action_time_text", F.unix_timestamp(parsed).alias("epoch_seconds"), format_time(parsed).alias("normalized"))
 
 
 def time_compare(spark, sf_dir):
-    """Action time against noon of its day, as text with unpadded hours."""
-    a = _all_actions(spark, sf_dir).select(
-        F.date_format("action_time", UNPADDED_TIME).alias("action_time_text"),
-        F.concat(format_date("date"), F.lit(" 12:00:00")).alias("noon_text"))
+    """Action time text against noon of its day."""
+    a = _time_texts(spark, sf_dir).select("action_time_text", F.concat(format_date("date"), F.lit(" 12:00:00.0")).alias("noon_text"))
     return a.select("action_time_text", "noon_text",
                     before("action_time_text", "noon_text").alias("is_before"),
                     after("action_time_text", "noon_text").alias("is_after"))
@@ -263,9 +275,7 @@ def time_compare(spark, sf_dir):
 
 def time_diff_seconds(spark, sf_dir):
     """Seconds from the start of the day, from two time texts."""
-    a = _all_actions(spark, sf_dir).select(
-        F.date_format("action_time", UNPADDED_TIME).alias("action_time_text"),
-        F.concat(format_date("date"), F.lit(" 0:00:00")).alias("midnight_text"))
+    a = _time_texts(spark, sf_dir).select("action_time_text", F.concat(format_date("date"), F.lit(" 0:00:00")).alias("midnight_text"))
     return a.select("action_time_text", "midnight_text",
                     minus_seconds("action_time_text", "midnight_text").alias("seconds_into_day"))
 
@@ -299,7 +309,7 @@ def round_half_up_query(spark, sf_dir):
 
 def trim_comma_query(spark, sf_dir):
     """C11: keyword buffer `a,b,` of each session trimmed to `a,b`."""
-    rec = session_records(_window_actions(spark, sf_dir))
+    rec = session_records(_all_actions(spark, sf_dir), categories=False)
     kws = F.col("search_keywords")
     # every keyword followed by a comma, after a leading comma
     buffer = F.concat(F.lit(","), F.array_join(kws, ","),
@@ -321,7 +331,7 @@ def pad_two_query(spark, sf_dir):
 
 
 def _packed_sessions(spark, sf_dir) -> DataFrame:
-    rec = session_records_text(_window_actions(spark, sf_dir))
+    rec = session_records_text(_all_actions(spark, sf_dir))
     packed = pack([
         (FIELD_SESSION_ID, F.col("session_id")),
         (FIELD_SEARCH_KEYWORDS, F.col("search_keywords")),

@@ -31,10 +31,12 @@ from ..session import checkpoint_dir
 from .params import TaskRequest, load_task_request
 
 
-def filtered_sessions(source, start: str | dt.date, end: str | dt.date,
+def filtered_sessions(source, start: str | dt.date | None = None, end: str | dt.date | None = None,
                       spec: FilterSpec = FilterSpec()) -> DataFrame:
     """Sessions of the range that pass every filter of `spec`, with profile.
 
+    Without a range the whole action table is read.
+
     Columns: session_id, user_id, visit_length, step_length, start_time
     (text), age, professional, city, sex.
     """
@@ -48,7 +50,7 @@ def filtered_sessions(source, start: str | dt.date, end: str | dt.date,
     )
 
 
-def session_stat_slots(source, start: str | dt.date, end: str | dt.date,
+def session_stat_slots(source, start: str | dt.date | None = None, end: str | dt.date | None = None,
                        spec: FilterSpec = FilterSpec()) -> DataFrame:
     """One row with the 16 counters of the sessions passing `spec`."""
     sessions = session_core(source.actions(start, end), spec).where(session_hit_predicate(spec))
@@ -57,13 +59,13 @@ def session_stat_slots(source, start: str | dt.date, end: str | dt.date,
     return per_user.join(user_ids, "user_id", "inner").agg(*slot_sums())
 
 
-def session_stats(source, start: str | dt.date, end: str | dt.date,
+def session_stats(source, start: str | dt.date | None = None, end: str | dt.date | None = None,
                   spec: FilterSpec = FilterSpec(), metrics: list[str] | None = None) -> DataFrame:
     """`(metric, cnt)` rows: session_count and every visit / step band."""
     return slots_to_long(session_stat_slots(source, start, end, spec), metrics)
 
 
-def session_stats_packed(source, start, end, spec: FilterSpec = FilterSpec()) -> DataFrame:
+def session_stats_packed(source, start=None, end=None, spec: FilterSpec = FilterSpec()) -> DataFrame:
     """The counters as one `k=v|k=v` text."""
     return slots_to_packed(session_stat_slots(source, start, end, spec))
 
@@ -90,5 +92,9 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how == "checkpoint":
         checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        # Writing the checkpoint runs the plan a second time unless its rows are kept.
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        written = kept.checkpoint(eager=True)
+        kept.unpersist()
+        return written
     raise ValueError(f"unknown materialization: {how!r}")

@@ -12,27 +12,19 @@ import datetime as dt
 
 from ..constants import SESSION_COUNT, STEP_BANDS, VISIT_BANDS
 from .catalog import (
+    ALL_SIX,
     CATEGORIES,
-    END_DATE,
     FIRST_NATIONS,
     FIRST_SEGMENTS,
     KEYWORDS,
     LOOKUP_TASK_ID,
     RANGE_END,
     RANGE_START,
-    START_DATE,
     TASK_STAT_ID,
 )
 
-_HI_EXCL = (dt.date.fromisoformat(END_DATE) + dt.timedelta(days=1)).isoformat()  # day after END_DATE
 
-
-def _ev(window: bool | str) -> str:
-    if isinstance(window, str):
-        where = window
-    else:
-        where = (f"WHERE ts >= TIMESTAMP '{START_DATE}' AND ts < TIMESTAMP '{_HI_EXCL}'"
-                 if window else "")
+def _ev(where: str = "") -> str:
     return f"""ev AS (
   SELECT event_id, user_id, event_type, date_trunc('second', ts) AS t,
          TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
@@ -95,12 +87,12 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _window_sessions() -> str:
-    return _with(_ev(True), _UVA, _SESS, _SESS_TEXT, _UI)
+def _sessions() -> str:
+    return _with(_ev(), _UVA, _SESS, _SESS_TEXT, _UI)
 
 
 def _all_actions() -> str:
-    return _with(_ev(False), _UVA)
+    return _with(_ev(), _UVA)
 
 
 def _quote_list(values) -> str:
@@ -126,7 +118,7 @@ def _stats_sql(where: str, metrics: list[str] | None = None, prefix: str | None
     body = "\nUNION ALL\n".join(
         f"SELECT '{name}' AS metric, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS cnt FROM passed"
         for name, cond in rows)
-    return ((prefix or _window_sessions())
+    return ((prefix or _sessions())
             + f", passed AS (SELECT st.* , ui.age, ui.professional, ui.city, ui.sex "
               f"FROM st JOIN ui USING (user_id) WHERE {where})\n" + body)
 
@@ -139,7 +131,7 @@ def _packed_stat_sql() -> str:
         rows.append((name, f"step_length >= {lo}" if hi is None else f"step_length BETWEEN {lo} AND {hi}"))
     parts = " || '|' || ".join(
         f"'{name}=' || CAST(count(*) FILTER (WHERE {cond}) AS VARCHAR)" for name, cond in rows)
-    return (_window_sessions()
+    return (_sessions()
             + ", passed AS (SELECT st.* FROM st JOIN ui USING (user_id))\n"
             + f"SELECT {parts} AS stat FROM passed")
 
@@ -158,12 +150,19 @@ FILTERS = {
     "filter_sex": _SEX,
     "filter_keywords": _KW,
     "filter_categories": _CAT,
-    "session_filter": f"{_AGE} AND {_PROF} AND {_CITY} AND {_KW}",
+    "session_filter": " AND ".join([
+        f"age BETWEEN {ALL_SIX['start_age']} AND {ALL_SIX['end_age']}",
+        f"professional IN ({_quote_list(ALL_SIX['professionals'])})",
+        f"city IN ({_quote_list(ALL_SIX['cities'])})",
+        f"sex = '{ALL_SIX['sex']}'",
+        f"list_has_any(kw_list, [{_quote_list(ALL_SIX['keywords'])}])",
+        f"list_has_any(cat_list, [{', '.join(ALL_SIX['category_ids'])}])",
+    ]),
 }
 
 
 def _filter_sql(where: str) -> str:
-    return (_window_sessions()
+    return (_sessions()
             + "SELECT st.session_id, st.user_id, st.visit_length, st.step_length, st.start_time, "
               "ui.age, ui.professional, ui.city, ui.sex\n"
               f"FROM st JOIN ui USING (user_id) WHERE {where}")
@@ -190,28 +189,37 @@ _TASKS = """tp AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey
 )"""
 
-# Exact half-up rounding of a double (see functions.text.round_half_up),
-# written out in SQL: two-product split of |x| * 10^s, then the tie test.
 def _round_sql(x: str, scale: int) -> str:
-    def d(v: float) -> str:
-        return f"CAST({float(v)!r} AS DOUBLE)"
-
-    m = d(10 ** scale)
-    a = f"abs(coalesce({x}, {d(0.0)}))"
-    p = f"({a} * {m})"
-    split = d(134217729.0)
-    a_hi = f"(({a} * {split}) - (({a} * {split}) - {a}))"
-    a_lo = f"({a} - {a_hi})"
-    err = f"(({a_hi} * {m} - {p}) + {a_lo} * {m})"
-    n = f"floor({p})"
-    frac = f"({p} - {n})"
-    up = f"(CASE WHEN ({frac} - {d(0.5)}) >= -{err} THEN {d(1.0)} ELSE {d(0.0)} END)"
-    mag = f"(CASE WHEN {p} < {d(2.0 ** 53)} THEN ({n} + {up}) / {m} ELSE {a} END)"
-    return f"({mag} * sign({x}))"
+    """Half-up rounding on the decimal digits of the stored double, as the database prints them.
+
+    Forty digits after the point are more than the distance of any double from a tie.
+    """
+    digits = f"printf('%.40f', abs({x}))"
+    whole, rest = f"split_part({digits}, '.', 1)", f"split_part({digits}, '.', 2)"
+    cut = f"CAST({whole} || substr({rest}, 1, {scale}) AS HUGEINT)"
+    up = f"CASE WHEN substr({rest}, {scale + 1}, 1) >= '5' THEN 1 ELSE 0 END"
+    return f"(CAST({cut} + {up} AS DOUBLE) / CAST({10 ** scale} AS DOUBLE) * sign({x}))"
 
 
 _REV = "(l_extendedprice * (CAST(1.0 AS DOUBLE) - l_discount))"
 
+# Time texts in ten forms by page; which are times is stated, not parsed.
+_TIME_TEXT = """tt AS (
+  SELECT date, action_time, page_id NOT IN (5, 6, 8) AS is_time, CASE page_id
+    WHEN 0 THEN strftime(action_time, '%Y-%m-%d %-H:%M:%S')
+    WHEN 1 THEN strftime(action_time, '%Y-%m-%d %H:%M:%S') || '.0'
+    WHEN 2 THEN strftime(action_time, '%Y-%m-%d %H:%M:%S') || '.123'
+    WHEN 3 THEN strftime(action_time, '%Y-%-m-%-d %-H:%-M:%-S')
+    WHEN 4 THEN strftime(action_time, '%Y-%m-%d %H:%M:%S') || ' x'
+    WHEN 5 THEN strftime(action_time, '%Y/%m/%d %H:%M:%S')
+    WHEN 6 THEN '2024-02-30 ' || strftime(action_time, '%H:%M:%S')
+    WHEN 7 THEN ' ' || strftime(action_time, '%Y-%m-%d') || '  ' || strftime(action_time, '%H:%M:%S')
+    WHEN 8 THEN strftime(action_time, '%Y-%m-%d') || 'T' || strftime(action_time, '%H:%M:%S')
+    ELSE strftime(action_time, '%Y-%m-%d %H:%M:%S') END AS action_time_text
+  FROM uva
+)
+"""
+
 _PACKED = """pk AS (
   SELECT session_id, step_length,
          'sessionid=' || session_id || '|searchKeywords=' || search_keywords ||
@@ -221,10 +229,6 @@ _PACKED = """pk AS (
 )"""
 
 
-def _stat_where_none() -> str:
-    return "TRUE"
-
-
 def _task_stat_sql(task_id: int) -> str:
     def param(name: str) -> str:
         return f"(SELECT {name} FROM tp WHERE task_id = {task_id})"
@@ -253,7 +257,7 @@ ORACLE: dict[str, str] = {
     "user_info_scan": _with(_UI) + "SELECT user_id, username, name, age, professional, city, sex FROM ui",
     "task_lookup": _with(_TASKS) + f"SELECT * FROM tp WHERE task_id = {LOOKUP_TASK_ID}",
     "task_params": _with(_TASKS) + "SELECT * FROM tp",
-    "table_sample_row": _all_actions() + "SELECT * FROM (" + _ACTION_TEXT + ") x "
+    "table_sample_row": _with(_ev("WHERE ts = (SELECT min(ts) FROM events)"), _UVA) + "SELECT * FROM (" + _ACTION_TEXT + ") x "
         "ORDER BY date NULLS FIRST, user_id NULLS FIRST, session_id NULLS FIRST, page_id NULLS FIRST, "
         "action_time NULLS FIRST, search_keyword NULLS FIRST, click_category_id NULLS FIRST, "
         "click_product_id NULLS FIRST, order_category_ids NULLS FIRST, order_product_ids NULLS FIRST, "
@@ -265,23 +269,23 @@ ORACLE: dict[str, str] = {
         "CASE WHEN p_size IS NULL THEN '{}' ELSE '{\"product_status\":' || CAST(p_size % 2 AS VARCHAR) || '}' END "
         "AS extend_info FROM part) x ORDER BY product_id NULLS FIRST, product_name NULLS FIRST, "
         "extend_info NULLS FIRST LIMIT 1",
-    "session_aggregate": _window_sessions()
+    "session_aggregate": _sessions()
         + "SELECT session_id, user_id, search_keywords, click_category_ids, visit_length, step_length, start_time FROM st",
-    "session_keywords": _window_sessions()
+    "session_keywords": _sessions()
         + "SELECT session_id, search_keywords, CAST(coalesce(len(kw_list), 0) AS BIGINT) AS keyword_count FROM st",
-    "session_categories": _window_sessions()
+    "session_categories": _sessions()
         + "SELECT session_id, click_category_ids, CAST(coalesce(len(cat_list), 0) AS BIGINT) AS category_count FROM st",
-    "session_visit_length": _window_sessions()
+    "session_visit_length": _sessions()
         + f"SELECT session_id, start_time, end_time, visit_length, {_band_case('visit_length', VISIT_BANDS)} AS visit_band FROM st",
-    "session_step_length": _window_sessions()
+    "session_step_length": _sessions()
         + f"SELECT session_id, step_length, {_band_case('step_length', STEP_BANDS)} AS step_band FROM st",
-    "session_user_join": _window_sessions()
+    "session_user_join": _sessions()
         + "SELECT st.user_id, st.session_id, st.search_keywords, st.click_category_ids, st.visit_length, "
           "st.step_length, st.start_time, ui.age, ui.professional, ui.city, ui.sex FROM st JOIN ui USING (user_id)",
-    "session_user_join_unmatched": _window_sessions()
+    "session_user_join_unmatched": _sessions()
         + "SELECT CAST(count(*) AS BIGINT) AS sessions, "
-          "CAST(count(*) FILTER (WHERE user_id IN (SELECT user_id FROM ui)) AS BIGINT) AS matched, "
-          "CAST(count(*) FILTER (WHERE user_id IS NULL OR user_id NOT IN (SELECT user_id FROM ui WHERE user_id IS NOT NULL)) AS BIGINT) AS dropped "
+          "CAST(count(*) FILTER (WHERE user_id IN (SELECT s_suppkey FROM supplier)) AS BIGINT) AS matched, "
+          "CAST(count(*) FILTER (WHERE user_id IS NULL OR user_id NOT IN (SELECT s_suppkey FROM supplier)) AS BIGINT) AS dropped "
           "FROM st",
     **{name: _filter_sql(where) for name, where in FILTERS.items()},
     "session_aggr_stat": _stats_sql("TRUE"),
@@ -290,21 +294,18 @@ ORACLE: dict[str, str] = {
     "step_length_bands": _stats_sql("TRUE", [b[0] for b in STEP_BANDS]),
     "session_stat_packed": _packed_stat_sql(),
     "task_session_stat": _task_stat_sql(TASK_STAT_ID),
-    "time_parse": _all_actions()
-        + "SELECT strftime(action_time, '%Y-%m-%d %-H:%M:%S') AS action_time_text, "
-          "CAST(epoch(action_time) AS BIGINT) AS epoch_seconds, "
-          "strftime(action_time, '%Y-%m-%d %H:%M:%S') AS normalized FROM uva",
-    "time_compare": _all_actions()
-        + "SELECT strftime(action_time, '%Y-%m-%d %-H:%M:%S') AS action_time_text, "
-          "strftime(date, '%Y-%m-%d') || ' 12:00:00' AS noon_text, "
-          "hour(action_time) < 12 AS is_before, "
-          "(hour(action_time) > 12 OR (hour(action_time) = 12 AND (minute(action_time) > 0 OR second(action_time) > 0))) AS is_after "
-          "FROM uva",
-    "time_diff_seconds": _all_actions()
-        + "SELECT strftime(action_time, '%Y-%m-%d %-H:%M:%S') AS action_time_text, "
-          "strftime(date, '%Y-%m-%d') || ' 0:00:00' AS midnight_text, "
-          "CAST(hour(action_time) * 3600 + minute(action_time) * 60 + second(action_time) AS INTEGER) AS seconds_into_day "
-          "FROM uva",
+    "time_parse": _all_actions() + ", " + _TIME_TEXT
+        + "SELECT action_time_text, CASE WHEN is_time THEN CAST(epoch(action_time) AS BIGINT) END AS epoch_seconds, "
+          "CASE WHEN is_time THEN strftime(action_time, '%Y-%m-%d %H:%M:%S') END AS normalized FROM tt",
+    "time_compare": _all_actions() + ", " + _TIME_TEXT
+        + "SELECT action_time_text, strftime(date, '%Y-%m-%d') || ' 12:00:00.0' AS noon_text, "
+          "is_time AND hour(action_time) < 12 AS is_before, "
+          "is_time AND (hour(action_time) > 12 OR (hour(action_time) = 12 AND (minute(action_time) > 0 OR second(action_time) > 0))) AS is_after "
+          "FROM tt",
+    "time_diff_seconds": _all_actions() + ", " + _TIME_TEXT
+        + "SELECT action_time_text, strftime(date, '%Y-%m-%d') || ' 0:00:00' AS midnight_text, "
+          "CAST(CASE WHEN is_time THEN hour(action_time) * 3600 + minute(action_time) * 60 + second(action_time) ELSE 0 END AS INTEGER) AS seconds_into_day "
+          "FROM tt",
     "actions_per_date_hour": _all_actions()
         + "SELECT strftime(action_time, '%Y-%m-%d_%H') AS date_hour, CAST(count(*) AS BIGINT) AS actions "
           "FROM uva GROUP BY 1",
@@ -315,7 +316,7 @@ ORACLE: dict[str, str] = {
         f"{_round_sql(_REV, 2)} AS revenue_2, {_round_sql(_REV, 1)} AS revenue_1, "
         f"{_round_sql(_REV, 0)} AS revenue_0, {_round_sql('(l_extendedprice * l_tax)', 2)} AS tax_2 "
         "FROM lineitem",
-    "trim_comma": _window_sessions()
+    "trim_comma": _sessions()
         + "SELECT session_id, ',' || coalesce(array_to_string(list_transform(list_sort(kw_list), lambda x: x || ','), ''), '') AS keyword_buffer, "
           "search_keywords FROM st",
     "pad_two": _all_actions()
@@ -325,11 +326,11 @@ ORACLE: dict[str, str] = {
           "CASE WHEN length(CAST(second(action_time) AS VARCHAR)) = 2 THEN CAST(second(action_time) AS VARCHAR) ELSE '0' || CAST(second(action_time) AS VARCHAR) END AS ss, "
           "CASE WHEN length(CAST(user_id AS VARCHAR)) = 2 THEN CAST(user_id AS VARCHAR) ELSE '0' || CAST(user_id AS VARCHAR) END AS user_text "
           "FROM uva",
-    "packed_get": _window_sessions() + ", " + _PACKED
+    "packed_get": _sessions() + ", " + _PACKED
         + "\nSELECT pk.packed, CAST(st.visit_length AS VARCHAR) AS visit_length, "
           "CAST(st.step_length AS VARCHAR) AS step_length, st.search_keywords, "
           "CAST(NULL AS VARCHAR) AS age FROM pk JOIN st ON pk.session_id = st.session_id",
-    "packed_set": _window_sessions() + ", " + _PACKED
+    "packed_set": _sessions() + ", " + _PACKED
         + "\nSELECT session_id, replace(packed, '|stepLength=' || CAST(step_length AS VARCHAR) || '|', "
           "'|stepLength=' || CAST(step_length + 1 AS VARCHAR) || '|') AS packed_next, packed AS packed_unknown FROM pk",
 }

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 class JdbcTarget:
     url: str
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     driver: str | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
@@ -47,11 +47,22 @@ def read_table(spark: SparkSession, target: JdbcTarget, table: str, *,
                partition_column: str | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, num_partitions: int | None = None,
                fetch_size: int = 10_000) -> DataFrame:
-    """A database table as a DataFrame, read in parallel when a split column is given."""
+    """A database table as a DataFrame, read in parallel when a split column is given.
+
+    Name a numeric or date `partition_column` for any large table: without one
+    the whole table comes through one connection. Bounds that are not given are
+    asked of the database, one row.
+    """
     r = reader(spark, target).option("dbtable", table).option("fetchsize", str(fetch_size))
     if partition_column is not None:
-        if None in (lower_bound, upper_bound, num_partitions):
-            raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
+        if num_partitions is None:
+            num_partitions = spark.sparkContext.defaultParallelism
+        if lower_bound is None or upper_bound is None:
+            bounds = read_query(spark, target, f"SELECT min({partition_column}) AS lo, max({partition_column}) AS hi FROM {table}").first()
+            lower_bound = bounds["lo"] if lower_bound is None else lower_bound
+            upper_bound = bounds["hi"] if upper_bound is None else upper_bound
+        if lower_bound is None or upper_bound is None:  # no rows, or no keys
+            return r.load()
         r = (r.option("partitionColumn", partition_column)
              .option("lowerBound", str(lower_bound))
              .option("upperBound", str(upper_bound))
@@ -60,13 +71,24 @@ def read_table(spark: SparkSession, target: JdbcTarget, table: str, *,
 
 
 def read_query(spark: SparkSession, target: JdbcTarget, query: str) -> DataFrame:
-    """Rows of a SELECT run by the database (S6, single connection)."""
+    """Rows of a SELECT run by the database (S6); one connection, so for small results."""
     return reader(spark, target).option("query", query).load()
 
 
-def read_tasks(spark: SparkSession, target: JdbcTarget, table: str = "task") -> DataFrame:
-    """The task table; `where(task_id = …)` on it is pushed to the database."""
-    return read_table(spark, target, table).select(
+def read_tasks(spark: SparkSession, target: JdbcTarget, table: str = "task", task_id: int | None = None) -> DataFrame:
+    """The task table, or one task of it."""
+    return task_rows(read_table(spark, target, table), task_id)
+
+
+def task_rows(stored: DataFrame, task_id: int | None = None) -> DataFrame:
+    """Stored tasks under the engine's types.
+
+    The key is compared on the stored column, before any cast, so the equality
+    reaches the database whatever number type the column has.
+    """
+    if task_id is not None:
+        stored = stored.where(F.col("task_id") == F.lit(int(task_id)))
+    return stored.select(
         F.col("task_id").cast("bigint").alias("task_id"),
         *[F.col(c).cast("string").alias(c) for c in (
             "task_name", "create_time", "start_time", "finish_time",
@@ -84,7 +106,8 @@ def writer(df: DataFrame, target: JdbcTarget, table: str, *, mode: str = "append
     such as the 16-row statistics). `num_partitions` also caps the number
     of concurrent connections to the database.
     """
-    out = df.coalesce(num_partitions) if num_partitions else df
+    # A shuffle, so the stages above keep their own parallelism.
+    out = df.repartition(num_partitions) if num_partitions else df
     w = out.write.format("jdbc").mode(mode)
     for key, value in target.options().items():
         w = w.option(key, value)
@@ -95,3 +118,16 @@ def writer(df: DataFrame, target: JdbcTarget, table: str, *, mode: str = "append
 
 def write_table(df: DataFrame, target: JdbcTarget, table: str, **kwargs) -> None:
     writer(df, target, table, **kwargs).save()
+
+
+def append_task_once(rows: DataFrame, target: JdbcTarget, table: str, task_id: int) -> bool:
+    """Append a task's result rows in one transaction unless the table has them; whether it wrote.
+
+    The rows go out as one partition, so a failed run leaves none of them and a
+    repeated run finds all or nothing.
+    """
+    stored = read_table(rows.sparkSession, target, table)
+    if not stored.where(F.col("task_id") == F.lit(int(task_id))).limit(1).isEmpty():
+        return False
+    write_table(rows, target, table, num_partitions=1)
+    return True

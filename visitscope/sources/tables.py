@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
 from ..functions.timefmt import parse_time, to_action_time
-from ..schemas import USER_INFO, USER_VISIT_ACTION
+from ..schemas import USER_INFO
 
 USER_COLUMNS = [f.name for f in USER_INFO.fields]
-ACTION_COLUMNS = [f.name for f in USER_VISIT_ACTION.fields]
 PROFILE_COLUMNS = ["user_id", "age", "professional", "city", "sex"]
 
 
@@ -66,14 +65,48 @@ def normalize_actions(df: DataFrame) -> DataFrame:
     )
 
 
-def filter_date_range(actions: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
-    """Action rows whose `date` lies in [start, end], both ends included."""
+def date_range(start: str | dt.date | None, end: str | dt.date | None) -> tuple[dt.date, dt.date] | None:
+    """The checked range, or None for "every day" when both ends are missing.
+
+    Every source asks here, so a missing end or a start after the end is the
+    same error everywhere.
+    """
+    if start is None and end is None:
+        return None
+    if start is None or end is None:
+        raise ValueError("both start and end date are required")
     lo, hi = as_date(start), as_date(end)
     if lo > hi:
         raise ValueError(f"start date {lo} is after end date {hi}")
+    return lo, hi
+
+
+def filter_date_range(actions: DataFrame, start: str | dt.date | None, end: str | dt.date | None) -> DataFrame:
+    """Action rows whose stored `date` lies in [start, end], both ends included.
+
+    Text dates are compared as text, which orders `yyyy-MM-dd` rightly and
+    reaches the scan as typed dates do.
+    """
+    found = date_range(start, end)
+    if found is None:
+        return actions
+    lo, hi = found
+    if dict(actions.dtypes).get("date") == "string":
+        return actions.where(F.col("date").between(F.lit(lo.isoformat()), F.lit(hi.isoformat())))
     return actions.where(F.col("date").between(F.lit(lo), F.lit(hi)))
 
 
+def unparsed_times(actions: DataFrame) -> DataFrame:
+    """One row, (actions, unparsed): stored time texts that are not times (see `parse_time`).
+
+    Such a row counts as a step of its session but has no part in its start,
+    end and length.
+    """
+    time = parse_time("action_time") if dict(actions.dtypes).get("action_time") == "string" else F.col("action_time")
+    return actions.agg(F.count(F.lit(1)).alias("actions"),
+                       F.count_if(F.col("action_time").isNotNull() & time.isNull()).alias("unparsed"))
+
+
 @dataclass
 class CatalogSource:
     """Tables registered in the session catalog (Hive metastore on a cluster).
@@ -86,16 +119,8 @@ class CatalogSource:
     actions_table: str = "user_visit_action"
     users_table: str = "user_info"
 
-    def actions(self, start: str | dt.date, end: str | dt.date) -> DataFrame:
-        raw = self.spark.table(self.actions_table)
-        types = dict(raw.dtypes)
-        lo, hi = as_date(start), as_date(end)
-        if types.get("date") == "string":
-            # Text dates compare correctly as text in yyyy-MM-dd form, and the
-            # comparison still reaches the scan.
-            raw = raw.where(F.col("date").between(F.lit(lo.isoformat()), F.lit(hi.isoformat())))
-            return normalize_actions(raw)
-        return normalize_actions(filter_date_range(raw, lo, hi))
+    def actions(self, start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
+        return normalize_actions(filter_date_range(self.spark.table(self.actions_table), start, end))
 
     def users(self) -> DataFrame:
         return self.spark.table(self.users_table).select(*USER_COLUMNS)
@@ -108,8 +133,8 @@ class FrameSource:
     action_rows: DataFrame
     user_rows: DataFrame
 
-    def actions(self, start: str | dt.date, end: str | dt.date) -> DataFrame:
-        return filter_date_range(normalize_actions(self.action_rows), start, end)
+    def actions(self, start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
+        return normalize_actions(filter_date_range(self.action_rows, start, end))
 
     def users(self) -> DataFrame:
         return self.user_rows.select(*USER_COLUMNS)
@@ -124,11 +149,11 @@ def register_views(spark: SparkSession, actions: DataFrame, users: DataFrame,
         products.createOrReplaceTempView("product_info")
 
 
-def session(hive: bool = False, master: str | None = None) -> SparkSession:
+def session(hive: bool = False, app_name: str | None = None) -> SparkSession:
     """Catalog choice (S3): the Hive metastore on a cluster, the session catalog otherwise."""
     builder = SparkSession.builder
-    if master:
-        builder = builder.master(master)
+    if app_name:
+        builder = builder.appName(app_name)
     if hive:
         builder = builder.enableHiveSupport()
     return builder.getOrCreate()

@@ -18,29 +18,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .tables import USER_COLUMNS, as_date
-
-
-# Parquet schema per path: inferring it runs a small Spark job on every read,
-# so the schema found on the first read is passed explicitly afterwards.
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+from ..operators.sample import least_rows
+from .tables import date_range
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One generated table, e.g. `lineitem`, from `sf_dir`."""
-    return _read(spark, sf_dir, name)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The derived columns, as SQL expressions over `events` (`t` is the action
@@ -81,9 +66,9 @@ def actions_from_events(events: DataFrame) -> DataFrame:
 
 
 def _customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                         "c_acctbal", "c_mktsegment")
-    nation = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    nation = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     # `nation` holds 25 rows by construction; the planner broadcasts it from
     # its measured file size, no hint needed.
     return customer.join(nation, "c_nationkey", "inner")
@@ -97,7 +82,7 @@ class GeneratedSource:
     sf_dir: str
 
     def events(self) -> DataFrame:
-        return _read(self.spark, self.sf_dir, "events")
+        return read_table(self.spark, self.sf_dir, "events")
 
     def actions(self, start: str | dt.date | None = None,
                 end: str | dt.date | None = None) -> DataFrame:
@@ -107,12 +92,9 @@ class GeneratedSource:
         `ts >= start AND ts < end + 1 day` as pushed filters.
         """
         ev = self.events().select("event_id", "ts", "user_id", "event_type", "props")
-        if start is not None or end is not None:
-            if start is None or end is None:
-                raise ValueError("both start and end date are required")
-            lo, hi = as_date(start), as_date(end)
-            if lo > hi:
-                raise ValueError(f"start date {lo} is after end date {hi}")
+        found = date_range(start, end)
+        if found is not None:
+            lo, hi = found
             # Bounds from text: a Python datetime literal would be read in the
             # local zone of the Python process and shift the window.
             ev = ev.where(
@@ -120,6 +102,25 @@ class GeneratedSource:
                 f"ts < CAST('{(hi + dt.timedelta(days=1)).isoformat()} 00:00:00' AS TIMESTAMP_NTZ)")
         return actions_from_events(ev)
 
+    def earliest_actions(self) -> DataFrame:
+        """The actions of the least stored time, fetched by that time."""
+        events = self.events().select("event_id", "ts", "user_id", "event_type", "props")
+        return actions_from_events(least_rows(events, "ts"))
+
+    def supplier_users(self) -> DataFrame:
+        """Profiles of the suppliers: far fewer users than own sessions."""
+        supplier = read_table(self.spark, self.sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+        nation = read_table(self.spark, self.sf_dir, "nation").selectExpr("n_nationkey AS s_nationkey", "n_name")
+        return supplier.join(nation, "s_nationkey").selectExpr(
+            "s_suppkey AS user_id",
+            "s_name AS username",
+            "s_name AS name",
+            "CAST(s_suppkey % 60 AS INT) AS age",
+            "'supplier' AS professional",
+            "n_name AS city",
+            "CASE WHEN s_suppkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
+        )
+
     def users(self) -> DataFrame:
         cn = _customer_profile(self.spark, self.sf_dir)
         return cn.selectExpr(
@@ -133,7 +134,7 @@ class GeneratedSource:
         )
 
     def products(self) -> DataFrame:
-        part = _read(self.spark, self.sf_dir, "part")
+        part = read_table(self.spark, self.sf_dir, "part")
         return part.select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
