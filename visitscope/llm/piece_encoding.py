@@ -133,7 +133,7 @@ class Normalizer:
                     break
                 at += size
         if at == len(data):
-            return b"", [at]
+            return b"", [0]
         if self.dummy_prefix:
             out += space
             origin += [at] * len(space)

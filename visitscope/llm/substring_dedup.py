@@ -150,9 +150,8 @@ def _doomed(words: Words, marks: list[dict] | None, window: int) -> np.ndarray:
 def remove_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256): kept words joined by one space."""
     marks = find_windows(docs, window, id_col, text_col)
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"), "*").select(
-        "id", F.coalesce("id", F.lit(LAST_ID)).alias("ord"), F.xxhash64(text_or_empty(text_col)).alias("key"),
-        text_or_empty(text_col).alias("text"))
+    own_id, text = F.col(id_col).cast("long"), text_or_empty(text_col)
+    keyed = docs.select(own_id.alias("id"), F.coalesce(own_id, F.lit(LAST_ID)).alias("ord"), F.xxhash64(text).alias("key"), text.alias("text"))
     rows = keyed.join(marks, ["ord", "key"], "left").select("id", "text", "marks")
     schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("n_words", T.LongType(), False),
                            T.StructField("n_removed", T.LongType(), False), T.StructField("kept_sha256", T.StringType(), False)])

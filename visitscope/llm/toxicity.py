@@ -135,7 +135,7 @@ class Scanner(dict):
         n = len(tokens)
         if not n:
             return [0.0] * len(FEATURES)
-        total, top, distinct, hits, second = np.zeros(len(COLUMNS)), 0.0, 0, [], []
+        total, top, distinct, hits, second = np.zeros(len(COLUMNS)), 0.0, set(), [], []
         for at in range(0, n, SLICE):
             if len(self) > REMEMBERED:
                 self.clear()
@@ -145,7 +145,7 @@ class Scanner(dict):
             hit = np.flatnonzero(own[:, 1])
             if len(hit):
                 top = max(top, float(own[hit, 0].max()))
-                distinct += len(np.unique(rows[hit]))
+                distinct.update(tokens[at + i] for i in hit.tolist())
                 hits.append(hit + at)
                 second.append(np.flatnonzero(own[:, 2]) + at)
         sums = dict(zip(COLUMNS, total.tolist(), strict=True))
@@ -153,7 +153,7 @@ class Scanner(dict):
         if hits:
             hit, them = np.concatenate(hits), np.concatenate(second)
             near = int((np.searchsorted(them, hit + NEAR, side="right") > np.searchsorted(them, hit - NEAR)).sum())
-        return [sums["hit"] / n, math.log1p(sums["hit"]), sums["weight"] / n, top, math.log1p(distinct), near / n,
+        return [sums["hit"] / n, math.log1p(sums["hit"]), sums["weight"] / n, top, math.log1p(len(distinct)), near / n,
                 sums["second"] / n, sums["capitals"] / n, sums["punctuation"] / max(1.0, sums["length"]), sums["exclaims"] / n,
                 sums["obfuscated"] / n, math.log1p(sums["obfuscated_hit"]), sums["digits"] / n, sums["length"] / n, math.log(n)]
 
