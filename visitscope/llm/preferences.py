@@ -5,6 +5,9 @@ rejected conversation is rendered once as the prompt; what follows in either
 is its completion, with the spans of characters that count for the loss:
 assistant text and its end mark. DataFrame functions only.
 
+A pair is one row of the result, so its turns meet in one task; rows that
+repeat are dropped before that, map-side.
+
 Defined results: turns are ordered by turn, then role, then text, null last;
 a turn given twice (same number, role and text) counts once; null role is
 rendered as `user`, null text as the empty text, and both compare as such; a

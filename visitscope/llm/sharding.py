@@ -95,8 +95,9 @@ def assign(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col:
               .select("group", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")))
 
     rows = rows.join(placed, "group").select(
-        "id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("id", "group"), F.lit(parts)).alias("part"))
-    rows = staged(rows, "shard-placed")
+        "id", "size", "text_crc32", "shard",
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("part"))
+    rows = staged(rows, "shard-placed")  # from here on the salt is a stored column
     offsets = (rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
                .select("shard", "part", F.sum("n").over(
                    Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("offset")))
