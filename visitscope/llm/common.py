@@ -22,10 +22,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session's Python stages."""
+def small_batches(spark: SparkSession, most: str = ARROW_BYTES) -> None:
+    """Bound the Arrow batches of the session's Python stages to `ARROW_ROWS` rows and `most` bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
 def shared_dir(spark: SparkSession) -> str:

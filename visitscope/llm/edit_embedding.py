@@ -27,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +37,8 @@ SAMPLES = 64
 PERIOD = 1 << 13
 CLASSES = 1 << 7
 SEED = 20240229
-CHUNK = 1 << 22     # characters of the texts that walk together
+CHUNK = 1 << 20     # characters of the texts that walk together
+BATCH_BYTES = "4m"  # of an Arrow batch; its characters take some 30 times as much while they walk
 FEW = 24            # so few texts walk faster one by one
 BAND = 3            # sampled characters in a band
 LEAST_LIKENESS = 0.8
@@ -184,7 +184,7 @@ def chunks(texts: list[str], most: int = CHUNK) -> Iterator[tuple[int, int]]:
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint) of every text."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     schema = T.StructType([docs.schema[id_col], T.StructField("fingerprint", T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +240,8 @@ def _followed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Ranges are cut at quantiles of the ids, a few for each shuffle partition; the last is followed by the first.
     """
+    from pyspark.ml.feature import Bucketizer  # only the driver needs it, workers import this module too
+
     spark = docs.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
@@ -267,7 +269,7 @@ def edit_report(docs: DataFrame, share: int = 4, samples: int = SAMPLES, id_col:
     Edited: the last n_chars // share characters replaced by the first as many (or all) of the next text by
     ascending id. (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("n_chars", T.LongType(), False),
                            *(T.StructField(c, T.StringType(), False) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")),
                            *(T.StructField(c, T.DoubleType(), False) for c in ("near_edited", "near_next"))])
