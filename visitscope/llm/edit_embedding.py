@@ -254,11 +254,10 @@ def _followed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = rows.withColumn("in", F.lit(0))
     rows = rows.select(F.col("in").cast("int").alias("range"), F.lit(False).alias("borrowed"), "id", "text")
     heads = rows.groupBy("range").agg(F.min(F.struct(F.col("id").isNotNull().alias("has"), "id", "text")).alias("head"))
-    ranges = sorted(r["range"] for r in rows.select("range").distinct().collect())
-    if not ranges:
-        return rows
-    before = F.create_map(*(F.lit(x) for k, r in enumerate(ranges) for x in (r, ranges[k - 1])))
-    borrowed = heads.select(before[F.col("range")].alias("range"), F.lit(True).alias("borrowed"), "head.id", "head.text")
+    ranges = sorted(r["range"] for r in rows.select("range").distinct().collect())  # a few for each partition
+    before = spark.createDataFrame([(r, ranges[k - 1]) for k, r in enumerate(ranges)], "range int, before int")
+    borrowed = heads.join(before, "range").select(
+        F.col("before").alias("range"), F.lit(True).alias("borrowed"), "head.id", "head.text")
     return rows.unionAll(borrowed).repartition("range").sortWithinPartitions("range", "borrowed", "id", "text")
 
 

@@ -108,9 +108,10 @@ def find_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                         names=["anchor", "block", "ord", "key", "start", "n"])
 
     blocks = staged(keyed.mapInArrow(index, "anchor long, block long, ord long, key long, start int, n int"), "lz-blocks")
-    shared = (blocks.groupBy("anchor")
-              .agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.min("block").alias("lo"), F.max("block").alias("hi"))
-              .where("first < last").select("anchor", "first", F.col("lo").eqNullSafe(F.col("hi")).alias("alike")))
+    # Written before it is joined, so that both sides are shuffled for the join and a hot anchor can be split.
+    shared = staged(blocks.groupBy("anchor")
+                    .agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.min("block").alias("lo"), F.max("block").alias("hi"))
+                    .where("first < last").select("anchor", "first", F.col("lo").eqNullSafe(F.col("hi")).alias("alike")), "lz-shared")
     # Blocks alike everywhere are settled here; others are looked up window by window.
     hits = staged(blocks.join(shared, "anchor").where("not alike or ord > first"), "lz-hits")
     whole = hits.where("alike").select("ord", "key", "start", "n")
@@ -133,8 +134,9 @@ def find_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                     names=["anchor", "code", "ord", "key", "start"])
 
     windows = staged(texts.mapInArrow(single, "anchor long, code long, ord long, key long, start int"), "lz-windows")
-    first = windows.groupBy("anchor", "code").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
-    found = (windows.join(first.drop("last"), ["anchor", "code"]).where("ord > first")
+    first = staged(windows.groupBy("anchor", "code").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+                   .where("first < last").drop("last"), "lz-first")
+    found = (windows.join(first, ["anchor", "code"]).where("ord > first")
              .select("ord", "key", "start", F.lit(1).alias("n")))
     return staged(whole.unionAll(found).groupBy("ord", "key")
                   .agg(F.collect_set(F.struct("start", "n")).alias("marks")), "lz-marks")
