@@ -83,3 +83,24 @@ def test_bands_find_near_texts(spark):
     by_id = {r.doc_id: r.fingerprint for r in prints.collect()}
     assert pairs == {(k, k + 1) for k in range(0, 200, 50) if by_id[k] != by_id[k + 1]} and len(pairs) >= 3
     prints.unpersist()
+
+
+def test_band_recall_against_brute_force(spark):
+    rnd = random.Random(9)
+    rows = []
+    for k in range(40):
+        text = "".join(rnd.choices("abcdefghijklmnop rst", k=rnd.randint(400, 1200)))
+        rows.append((50 * k, text))
+        for j in range(1, 6):  # copies with ever more edits
+            other = list(text)
+            for _ in range(6 * j):
+                other[rnd.randrange(len(other))] = rnd.choice("xyzw")
+            rows.append((50 * k + j, "".join(other)))
+    prints = {r.fingerprint for r in X.fingerprints(spark.createDataFrame(rows, DOCS)).collect()}
+    walk = X.walks()
+    queries = sorted({X.as_text(n) for n in X.prints([t for i, t in rows if i % 50 == 0], walk)[2]})
+    want = {(q, p) for q in queries for p in prints if q != p and X.likeness(walk.read(q), walk.read(p)) >= X.LEAST_LIKENESS}
+    near = X.near(spark.createDataFrame([(q,) for q in queries], "fingerprint string"),
+                  spark.createDataFrame([(p,) for p in prints], "fingerprint string"))
+    found = {(r["query"], r["fingerprint"]) for r in near.collect()}
+    assert len(want) > 40 and found <= want and len(found & want) >= 0.95 * len(want)
