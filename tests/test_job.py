@@ -262,9 +262,20 @@ def test_every_source_checks_the_range_alike(spark, start, end):
 def test_rewritten_folder_is_read_anew(spark, tmp_path):
     from visitscope.sources.testdata import read_table
 
-    for columns in (["a"], ["a", "b"]):
-        spark.createDataFrame([tuple(range(len(columns)))], columns).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
-        assert read_table(spark, str(tmp_path), "events").columns == columns
+    for extra in ([], ["'more' AS added"]):
+        spark.range(len(extra) + 1).selectExpr(
+            "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'click' AS event_type",
+            "'{}' AS props", *extra).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        assert read_table(spark, str(tmp_path), "events").count() == len(extra) + 1
+
+
+def test_stated_schemas_are_those_of_the_files(spark):
+    from visitscope.sources.testdata import SCHEMAS, read_table
+
+    for name in SCHEMAS:
+        stored = dict(spark.read.parquet(f"{SF001}/{name}.parquet").dtypes)
+        stated = dict(read_table(spark, SF001, name).dtypes)
+        assert stated == {c: stored[c] for c in stated}, name
 
 
 def test_checkpoint_runs_the_plan_once(spark):

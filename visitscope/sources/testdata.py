@@ -23,9 +23,21 @@ from ..operators.sample import least_rows
 from .tables import date_range
 
 
+# The columns of the generated tables that the views use. Stated here, so that a
+# read starts no job to infer them and always sees the files as they are.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_discount double, l_tax double",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One generated table, e.g. `lineitem`, from `sf_dir`."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The derived columns, as SQL expressions over `events` (`t` is the action
