@@ -12,15 +12,17 @@ from test_llm_substring import brute as repeats
 
 from visitscope.llm import toxicity
 from visitscope.llm.common import read_table, staged
+from visitscope.llm.pipeline import run_stages
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def test_stages_against_brute_force(spark):
+def test_stages_against_brute_force(spark, monkeypatch):
     """Each stage judged on its own input."""
     import sentencepiece
 
+    monkeypatch.setattr(toxicity, "TREES", 5)
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     docs = read_table(spark, SF, "documents")
     items = [tuple(r) for r in read_table(spark, SF, "benchmark").collect()]
@@ -52,9 +54,19 @@ def test_stages_against_brute_force(spark):
             assert all(after[i] == before[i] for i in after)
 
 
-def test_run_is_the_stages(spark):
-    assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert corpus_pipeline.ORACLE_SQL is None
+def test_run_writes_each_stage_and_reads_it_again(spark):
+    """The loop of `run` with cheap stages: every stage sees what the one before kept, read from a table."""
+    seen = []
+
+    def keep(spark, docs, sf_dir):
+        seen.append((docs.count(), docs.inputFiles()[0].split("/")[-2]))
+        return docs.where("doc_id % 2 = 0") if len(seen) == 1 else docs.where("doc_id % 3 = 0")
+
+    found = run_stages(spark, SF, [("a", keep), ("b", keep)])
+    assert [n for n, _ in seen] == [200, 100]
+    assert seen[1][1].startswith("pipeline-1-")
+    assert sorted(r.doc_id for r in found.collect()) == list(range(0, 200, 6))
+    assert corpus_pipeline.run.__doc__ and corpus_pipeline.ORACLE_SQL is None
 
 
 @pytest.mark.parametrize("missing", [False, True])

@@ -28,7 +28,8 @@ def test_held_out_accuracy(spark):
     assert hits / sum(y for _, y in held) > 0.85 and hits / sum(s >= 0.3 for s, _ in held) > 0.85
 
 
-def test_held_out_labels_are_not_read(spark):
+def test_held_out_labels_are_not_read(spark, monkeypatch):
+    monkeypatch.setattr(X, "TREES", 5)
     sf = "/root/testdata/sf0.001"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     turned = labels.withColumn("toxic", X.F.when(X.fold("doc_id") == X.HELD_OUT, 1 - X.F.col("toxic")).otherwise(X.F.col("toxic")))
