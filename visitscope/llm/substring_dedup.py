@@ -116,28 +116,35 @@ def find_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     hits = staged(blocks.join(shared, "anchor").where("not alike or ord > first"), "lz-hits")
     whole = hits.where("alike").select("ord", "key", "start", "n")
 
-    unsure = (hits.where("not alike").groupBy("ord", "key")
-              .agg(F.collect_set(F.struct("start", "n", "anchor")).alias("parts")))
-    texts = keyed.join(unsure, ["ord", "key"]).select("ord", "key", "text", "parts")
+    # Equal blocks stand or fall together: the one of the least id speaks for its copies.
+    unsure = hits.where("not alike")
+    spoken = (unsure.groupBy("anchor", "block").agg(F.min(F.struct("ord", "key", "start", "n")).alias("least"))
+              .select("anchor", "block", "least.*").groupBy("ord", "key")
+              .agg(F.collect_list(F.struct("start", "n", "anchor", "block")).alias("parts")))
+    texts = keyed.join(spoken, ["ord", "key"]).select("ord", "text", "parts")
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for owner, key, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for owner, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 codes = ngrams(words_of([text.encode()]).hashes, window)
                 n = np.array([p["n"] for p in parts])
-                start = np.repeat([p["start"] for p in parts], n)
-                start += np.arange(len(start)) - np.repeat(np.cumsum(n) - n, n)
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                start = np.repeat([p["start"] for p in parts], n) + at
+                anchor, block = (np.repeat(np.array([p[k] for p in parts], dtype=np.int64), n) for k in ("anchor", "block"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array([p["anchor"] for p in parts], dtype=np.int64), n)),
-                     pa.array(codes[start].view(np.int64)), pa.array(np.full(len(start), owner)),
-                     pa.array(np.full(len(start), key)), pa.array(start.astype(np.int32))],
-                    names=["anchor", "code", "ord", "key", "start"])
-
-    windows = staged(texts.mapInArrow(single, "anchor long, code long, ord long, key long, start int"), "lz-windows")
-    first = staged(windows.groupBy("anchor", "code").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-                   .where("first < last").drop("last"), "lz-first")
-    found = (windows.join(first, ["anchor", "code"]).where("ord > first")
-             .select("ord", "key", "start", F.lit(1).alias("n")))
+                    [pa.array(anchor), pa.array(block), pa.array(at.astype(np.int32)), pa.array(codes[start].view(np.int64)),
+                     pa.array(np.full(len(start), owner))], names=["anchor", "block", "at", "code", "ord"])
+
+    windows = staged(texts.mapInArrow(single, "anchor long, block long, at int, code long, ord long"), "lz-windows")
+    first = staged(windows.groupBy("anchor", "code").agg(F.min("ord").alias("first")), "lz-first")
+    known = staged(windows.join(first, ["anchor", "code"]).groupBy("anchor", "block")
+                   .agg(F.collect_set(F.struct("at", "first")).alias("known")), "lz-known")
+    # A block's windows that a smaller id holds; all of them are one run.
+    repeated = F.filter("known", lambda w: w["first"] < F.col("ord"))
+    runs = F.when(F.size(repeated) == F.col("n"), F.array(F.struct("start", "n"))).otherwise(
+        F.transform(repeated, lambda w: F.struct((F.col("start") + w["at"]).alias("start"), F.lit(1).alias("n"))))
+    found = (unsure.join(known, ["anchor", "block"]).select("ord", "key", F.explode(runs).alias("run"))
+             .select("ord", "key", "run.start", "run.n"))
     return staged(whole.unionAll(found).groupBy("ord", "key")
                   .agg(F.collect_set(F.struct("start", "n")).alias("marks")), "lz-marks")
 
