@@ -29,6 +29,22 @@ def test_digests_equal_the_library(library):
         assert enc.digests(ODD) == [digest(library, t) for t in ODD]
 
 
+def test_digests_come_from_ids_and_spans(monkeypatch):
+    enc = P.PieceEncoder(MODEL)
+    more = [*ODD, "é " * 40 + "x" * 100 + "  ü", "日本 " + "語" * 200 + " ", "the cat and the cat"]
+    for _ in range(2):  # remembered words give the spans of the whole text's own encoding
+        for text, found in zip(more, enc.encode_all(more), strict=True):
+            assert tuple(c.tolist() for c in found) == (enc.encode(text) if text else ([], [], []))
+    assert max(map(len, enc._row)) <= P.LONGEST_REMEMBERED and len(enc._row) == len(enc._count)
+    decoded = []
+    monkeypatch.setattr(enc, "sp", type("Spy", (), {"encode": enc.sp.encode, "decode": lambda self, ids: decoded.append(ids) or "spied"})())
+    found = enc.digests(["the cat", ""])
+    assert len(decoded) == 1 and found[0][2] == hashlib.sha256(b"spied").hexdigest()
+    enc._end = enc._end + 1
+    with pytest.raises(ValueError, match="spans"):
+        enc.digests(["the cat"])
+
+
 def test_odd_rows(spark, library):
     rows = odd_texts()
     found = P.encode_digest(with_clashes(spark, rows), MODEL).collect()

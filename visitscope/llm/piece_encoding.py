@@ -5,8 +5,10 @@ position, and each normalised byte records the source byte it came from.
 Pieces are cut on the normalised text, so the record projects every piece
 back to a span of original UTF-8 bytes.
 
-`encode` returns ids and spans, `encode_digest` counts and hashes. Both share
-`PieceEncoder`. Defined results: null text is the empty text; the empty text
+`encode` returns ids and spans; `encode_digest` takes those ids and spans,
+tests that the spans cover the text, decodes the ids, and returns counts and
+hashes. A word's ids and spans are remembered relative to its place and shifted
+to where it stands. Defined results: null text is the empty text; the empty text
 has no pieces; rows that repeat and rows with a null id are encoded like any
 other; other columns of the input are not read.
 """
@@ -19,6 +21,7 @@ import struct
 from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -175,8 +178,8 @@ class PieceEncoder:
         self.by_word = self.normalize.is_identity and any(self.is_byte) and not any(
             SPACE in n.lstrip(SPACE) for n in names)
         self.space_id = self.sp.piece_to_id(SPACE)
-        self._ids: dict[str, str] = {}
-        self._odd: set[str] = set()
+        self._decimal = list(map(str, range(len(names))))
+        self._forget()
 
     def encode(self, text: str) -> tuple[list[int], list[int], list[int]]:
         """Ids and, for each piece, its first byte and the byte after its last in the text."""
@@ -186,55 +189,99 @@ class PieceEncoder:
             ids.append(piece.id)
             lengths.append(1 if self.is_byte[piece.id] else len(piece.piece.encode()))
         normalised, origin = self.normalize(text)
+        edges = self._edges(lengths, normalised, origin)
+        return ids, edges[:-1], edges[1:]
+
+    @staticmethod
+    def _edges(lengths: list[int], normalised: bytes, origin: list[int]) -> list[int]:
+        """Source offsets of the cuts between pieces of these lengths."""
         cuts = [0, *accumulate(lengths)]
         if cuts[-1] != len(normalised):
             raise ValueError("pieces do not cover the normalised text")
-        return ids, [origin[a] for a, _ in pairwise(cuts)], [origin[b] for _, b in pairwise(cuts)]
+        return [origin[c] for c in cuts]
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of words as they stand after one space, added to the memory."""
-        ids = self.sp.encode(words, num_threads=1)
-        back = self.sp.decode(ids, num_threads=1)
-        space_bytes, size = len(SPACE.encode()), self.piece_bytes
-        for word, own, again in zip(words, ids, back, strict=True):
-            if word == "":
-                own, again = [self.space_id], ""
-            if sum([size[i] for i in own]) != len(word.replace(" ", SPACE).encode()) + space_bytes:
-                raise ValueError("pieces do not cover the normalised word")
-            self._ids[word] = ",".join(map(str, own))
-            if again != word:
-                self._odd.add(word)
+    def _forget(self) -> None:
+        none = np.zeros(0, np.int64)
+        self._row: dict[str, int] = {}
+        # Of words: first piece, number of pieces, bytes. Of pieces: id, span from the word's first byte; its space is at -1.
+        self._first = self._count = self._bytes = none
+        self._id = self._begin = self._end = none
 
-    def digests(self, batch: list[str]) -> list[tuple[int, str, str]]:
-        """(pieces, SHA-256 of the decimal ids joined by commas, SHA-256 of the decoded text)."""
+    def _keep(self, words: int, pieces: int) -> None:
+        """Cuts the memory's columns to the first words and pieces."""
+        self._first, self._count, self._bytes = (c[:words].copy() for c in (self._first, self._count, self._bytes))
+        self._id, self._begin, self._end = (c[:pieces].copy() for c in (self._id, self._begin, self._end))
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids and spans of words as they stand after one space, added to the memory."""
+        space, size = SPACE.encode(), self.piece_bytes
+        count, held, begins, ends = [], [], [], []
+        for word, ids in zip(words, self.sp.encode(words, num_threads=1), strict=True):
+            if word:
+                normalised, origin = self.normalize(word)
+            else:
+                ids, normalised, origin = [self.space_id], space, [0] * (len(space) + 1)
+            edges = self._edges([size[i] for i in ids], normalised, [-1] * len(space) + origin[len(space):])
+            count.append(len(ids))
+            held += ids
+            begins += edges[:-1]
+            ends += edges[1:]
+        rows = len(self._count)
+        self._row.update(zip(words, range(rows, rows + len(words)), strict=True))
+        first = len(self._id) + np.cumsum([0, *count[:-1]])
+        for name, new in (("_first", first), ("_count", count), ("_bytes", [len(w.encode()) for w in words]),
+                          ("_id", held), ("_begin", begins), ("_end", ends)):
+            setattr(self, name, np.concatenate([getattr(self, name), np.array(new, np.int64)]))
+
+    def _placed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`encode` of remembered words with a space between each two."""
+        rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+        count, size = self._count[rows], self._bytes[rows]
+        upto = np.cumsum(count)
+        at = np.arange(upto[-1]) + np.repeat(self._first[rows] - (upto - count), count)
+        shift = np.repeat(np.cumsum(size + 1) - size - 1, count)
+        # The first word's space is not in the text.
+        return self._id[at], np.maximum(self._begin[at] + shift, 0), np.maximum(self._end[at] + shift, 0)
+
+    def encode_all(self, batch: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """`encode` of every text."""
         split, fresh = [], set()
-        if len(self._ids) > REMEMBERED_WORDS:
-            self._ids, self._odd = {}, set()
+        if len(self._row) > REMEMBERED_WORDS:
+            self._forget()
         for text in batch:
             words = None
             if text and self.by_word and SPACE not in text:
                 words = text.split(" ") if "  " not in text and text[0] != " " else re.split("(?<=[^ ]) ", text)
                 fresh.update(words)
             split.append(words)
-        fresh = [w for w in fresh if w not in self._ids]
-        if fresh:
-            self._learn(fresh)
-        out = []
+        fresh = [w for w in fresh if w not in self._row]
+        long = [w for w in fresh if len(w) > LONGEST_REMEMBERED]
+        if len(fresh) > len(long):
+            self._learn([w for w in fresh if len(w) <= LONGEST_REMEMBERED])
+        kept = len(self._count), len(self._id)
+        if long:
+            self._learn(long)
         for text, words in zip(batch, split, strict=True):
-            if words is None:
-                ids = self.sp.encode(text) if text else []
-                n, joined, decoded = len(ids), ",".join(map(str, ids)), self.sp.decode(ids) if ids else ""
+            if words is not None:
+                yield self._placed(words)
             else:
-                joined = ",".join(map(self._ids.__getitem__, words))
-                n, decoded = joined.count(",") + 1, text
-                if self._odd and not self._odd.isdisjoint(words):
-                    decoded = self.sp.decode([int(i) for i in joined.split(",")])
-            out.append((n, hashlib.sha256(joined.encode()).hexdigest(),
-                        hashlib.sha256(decoded.encode()).hexdigest()))
-        for word in fresh:
-            if len(word) > LONGEST_REMEMBERED:
-                del self._ids[word]
-                self._odd.discard(word)
+                yield tuple(np.array(c, np.int64) for c in (self.encode(text) if text else ([], [], [])))
+        if long:
+            for word in long:
+                del self._row[word]
+            self._keep(*kept)
+
+    def digests(self, batch: list[str]) -> list[tuple[int, str, str]]:
+        """(pieces, SHA-256 of the decimal ids joined by commas, SHA-256 of the decoded text) of every text's `encode`."""
+        out = []
+        for text, (ids, begins, ends) in zip(batch, self.encode_all(batch), strict=True):
+            # Spaces that normalisation strips at the ends of a text belong to no piece.
+            if len(ids) and (not np.array_equal(ends[:-1], begins[1:])
+                             or self.normalize.is_identity and (begins[0] != 0 or ends[-1] != len(text.encode()))):
+                raise ValueError("spans do not cover the text")
+            ids = ids.tolist()
+            out.append((len(ids), hashlib.sha256(",".join(map(self._decimal.__getitem__, ids)).encode()).hexdigest(),
+                        hashlib.sha256((self.sp.decode(ids) if ids else "").encode()).hexdigest()))
         return out
 
 
@@ -257,9 +304,9 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         enc = encoder(model_path)
         for batch in batches:
-            rows = [enc.encode(t) if t else ([], [], []) for t in texts(batch.column(1))]
+            rows = list(enc.encode_all(texts(batch.column(1))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[k] for r in rows], ints) for k in range(3))],
+                [batch.column(0), *(pa.array([r[k].astype(np.int32) for r in rows], ints) for k in range(3))],
                 names=schema.names)
 
     return df.select(id_col, text_col).mapInArrow(run, schema)
