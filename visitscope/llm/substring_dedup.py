@@ -1,4 +1,5 @@
-"""Operator 8: substring dedup by relative Lempel-Ziv parsing.
+"""Operator 8: substring dedup by hashes of windows, in place of a relative
+Lempel-Ziv parse.
 
 Every document is a reference for those with larger ids. Reference blocks are
 cut by content: the least 8-word hash of a 50-word window anchors it, and the
@@ -6,11 +7,11 @@ consecutive windows with one anchor form a block of 50 to 92 words. Blocks are
 indexed by the anchor's hash, spread over the cluster, so a document meets
 only the blocks that share an anchor with it, never all blocks.
 
-Parsing is greedy: a block whose every copy is the same is taken whole when a
-smaller id holds it. Where blocks around one anchor differ, a factor may begin
-or end inside, so there, at the factor boundaries, each 50-word window is
-looked up on its own. Chains of found windows are the factors; as each holds
-at least 50 words, all of them are duplicate spans.
+No factor with a reference, start and length is made, and no match is extended
+word by word. A block whose every copy is the same is taken whole when a
+smaller id holds it. Where blocks around one anchor differ, each 50-word window
+is looked up on its own. A word goes if a window around it is found, which are
+the words that factors of at least 50 words would cover.
 
 Window keys are two independent 64-bit hashes (anchor and window).
 
