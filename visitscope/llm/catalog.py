@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, edit_embedding, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
+from . import conversation_repair, decontamination, edit_embedding, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -85,7 +85,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text's hash of every conversation, after planted damage."""
+    return conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination,
+                                   op13_conversation_repair)}
 
 _OP5_SQL = """
 WITH t AS (
