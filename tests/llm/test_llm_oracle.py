@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "conversations"):
+    for table in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     found = QUERIES[name](spark, SF)
     want = con.sql(ORACLE[name])
@@ -25,4 +25,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 12), 13]

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontamination, edit_embedding, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
+from . import conversation_repair, decontamination, edit_embedding, hard_negatives, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -85,13 +85,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First negatives of every anchor and positive within 30 to 90 percent of the positive's score."""
+    rows = hard_negatives.quantised(read_table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved)).drop("anchor_row", "positive_rank")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and repaired text's hash of every conversation, after planted damage."""
     return conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination,
-                                   op13_conversation_repair)}
+                                   op11_hard_negatives, op13_conversation_repair)}
 
 _OP5_SQL = """
 WITH t AS (
@@ -146,6 +153,25 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, digest AS p
 FROM h JOIN d ON h.hex = d.hex
 """
 
+_OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.uid, a.vec_id AS anchor_id, a.label = o.label AS alike, o.uid AS other, o.vec_id, list_inner_product(a.e, o.e)::BIGINT AS score
+  FROM v a JOIN v o ON a.uid <> o.uid WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT uid, anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id NULLS LAST, other) AS nth
+  FROM s WHERE alike QUALIFY nth <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.uid, p.nth ORDER BY s.score DESC, s.vec_id NULLS LAST, s.other)::INT AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.uid = p.uid AND NOT s.alike AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
 _OP10_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM benchmark),
@@ -163,4 +189,4 @@ FROM d JOIN i ON d.shingle = i.shingle AND d.n = i.n JOIN q ON q.item_id = i.ite
 GROUP BY doc_id, q.item_id HAVING count(*) >= 0.8 * any_value(n_shingles)
 """
 
-ORACLE = {"op10_decontamination": _OP10_SQL, "op5_preference_format": _OP5_SQL, "op7_warc": _OP7_SQL}
+ORACLE = {"op10_decontamination": _OP10_SQL, "op11_hard_negatives": _OP11_SQL, "op5_preference_format": _OP5_SQL, "op7_warc": _OP7_SQL}
