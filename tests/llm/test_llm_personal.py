@@ -1,0 +1,142 @@
+"""Personal data: base spans against plain regular expressions, the field against all segmentations and planted cases."""
+
+import hashlib
+import itertools
+import random
+import re
+
+import pytest
+from llm_helpers import by_value, odd_texts, with_clashes
+
+from visitscope.llm import personal_data as P
+from visitscope.llm.catalog import QUERIES, read_table
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def passes(kind, span):
+    digits = re.sub("[^0-9]", "", span)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in span.split("."))
+    if kind == "phone":
+        return 10 <= len(digits) <= 15
+    if kind == "card":
+        total = 0
+        for k, c in enumerate(reversed(digits)):
+            v = int(c) * (2 if k % 2 else 1)
+            total += v - 9 if v > 9 else v
+        return 14 <= len(digits) <= 19 and total % 10 == 0
+    return True
+
+
+def brute(text):
+    spans = [(m.start(), k, m.end()) for k, (kind, pattern) in enumerate(PLAIN.items()) for m in re.finditer(pattern, text or "")
+             if passes(kind, m.group())]
+    return sorted(spans)
+
+
+def joined(spans):
+    return ",".join(f"{P.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def test_base_spans_of_random_texts():
+    rnd = random.Random(1)
+    parts = ["a", "b.c", "@", "@x.y", ".", "..", " ", "-", "+", "+1", "(0", ")", "255", "256", "0001", "4111111111111111", "1.2.3.4", "é", "9", "12",
+             "00000000000000", "x@y", "_%", "\n", "1 2", "555-0100"]
+    for _ in range(20000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
+        assert P.base_spans(text) == brute(text), text
+
+
+@pytest.mark.parametrize("text", ["1" * 30000, "1." * 20000, "a" * 30000 + "@", "a@" * 20000, "+1" * 20000, "+1" + "(" * 30000, "1 " * 20000,
+                                  "a.a@a." * 8000, "x dot a" * 5000, "[at]" * 8000])
+def test_hostile_texts_are_quick(text):
+    import time
+    begin = time.time()
+    assert isinstance(P.base_spans(text), list)
+    for a, b in P.regions(text):
+        P.read_region(text[a:b], "")
+    assert time.time() - begin < 5
+
+
+def test_decoding_finds_the_best_of_all_segmentations():
+    rnd = random.Random(2)
+    for text in ["+1 (26) 5 63.5.2.7", "1 2.3.4.5 6", "a@b.c 1.2.3.4"]:
+        region = P.read_region(text, "")
+        region.candidates = [(i, j, k) for i, j, k in region.candidates + [(0, 3, 2), (1, 4, 3), (2, 4, 1), (0, 4, 0)]
+                             if j < len(region.edges)]
+        for _ in range(20):
+            follows = P.np.array([[rnd.uniform(-1, 1) for _ in range(P.LABELS)] for _ in range(P.LABELS)])
+            chosen = P.Field({}, follows)
+            scores = [rnd.uniform(-1, 3) for _ in region.candidates]
+            chosen.scores = lambda _r, scores=scores: scores
+            best = None
+            for some in itertools.chain.from_iterable(itertools.combinations(range(len(scores)), r) for r in range(4)):
+                segments = sorted(region.candidates[s] for s in some)
+                if any(a[1] > b[0] for a, b in itertools.pairwise(segments)):
+                    continue
+                total, last, at = sum(scores[s] for s in some), 0, 0
+                for i, j, k in [*segments, (len(region.edges) - 1, None, None)]:
+                    for _ in range(at, i):
+                        total, last = total + follows[last, 0], 0
+                    if j is not None:
+                        total, last, at = total + follows[last, k + 1], k + 1, j
+                if best is None or total > best[0]:
+                    best = (total, [(region.edges[i], k, region.edges[j]) for i, j, k in segments])
+            assert chosen.decode(region) == best[1]
+
+
+def planted(n):
+    rnd = random.Random(3)
+    docs = []
+    for i in range(n):
+        card = "45" + "".join(rnd.choice("0123456789") for _ in range(13))
+        card += next(d for d in "0123456789" if passes("card", card + d))
+        phone = f"+1 ({rnd.randint(200, 999)}) 555-{rnd.randint(1000, 9999)}"
+        ip = ".".join(str(rnd.randint(1, 255)) for _ in range(4))
+        mail = f"u{i}.{rnd.randint(1, 99)}@mail{i % 9}.example.com"
+        docs += [f"the card {card} goes", f"call {phone} now", f"from {ip} to", f"write {mail}, or not"]
+    return docs
+
+
+def test_joined_and_rewritten_spans_are_added_and_clean_texts_left(spark):
+    hard = [("pay +1 (269) 555-3296 4524132264652876 now", {"phone:4:21", "card:22:38"}),
+            ("or +1 (884) 555-3918 63.51.224.77 th", {"phone:3:20", "ip:21:33"}),
+            ("x 4451718024887799 27.65.93.188 y", {"card:2:18", "ip:19:31"}),
+            ("ring (988) 555-2485 or 988-555-2486", {"phone:5:19", "phone:23:35"}),
+            ("mail jane.7 [at] mail3 [dot] example [dot] com!", {"email:5:46"})]
+    clean = ["Apache License, Version 2.0. and 3.11.2", "on 2024-01-05 at 12:30:45", "token = \"2abc3ff2ca8fb1e4c565a0eb63815530a948bdde\"",
+             "number 4524132264652877 and 300.1.2.3", "it cost 1,299.00 in 2019", "look at that. A dot com", "ISBN 978-3-16-148410-0"]
+    texts = planted(60) + [t for t, _ in hard] + clean
+    rows = {r.doc_id: r for r in P.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    for k, (text, want) in enumerate(hard):
+        assert want <= set(rows[240 + k].spans.split(",")), (text, rows[240 + k].spans)
+    for k, text in enumerate(clean):
+        assert rows[240 + len(hard) + k].spans == "", (text, rows[240 + len(hard) + k].spans)
+    assert all(rows[k].n_added == 0 for k in range(240))
+
+
+def test_odd_texts(spark):
+    rows = [*odd_texts(), (20, "a@b.cc +49 30 1234567890"), (21, "😀 1.2.3.4 é"), (20, "a@b.cc +49 30 1234567890")]
+    found = P.report(with_clashes(spark, rows).repartition(3)).collect()
+    want = [(i, *(sum(k == n for _, k, _ in brute(t)) for n in range(4)), hashlib.sha256(joined(brute(t)).encode()).hexdigest()) for i, t in rows]
+    assert by_value((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in found) == by_value(want)
+    for r in found:
+        assert r.doc_id != 21 or r.spans == "ip:2:9"
+
+
+def test_empty_table_and_no_base_spans(spark):
+    assert P.report(with_clashes(spark, [])).count() == 0
+    assert [r.spans for r in P.report(with_clashes(spark, [(1, "(988) 555-2485 and 12 of 34")])).collect()] == [""]
+
+
+def test_query_on_generated_documents(spark):
+    path = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in read_table(spark, path, "documents").collect()}
+    for r in QUERIES["op12_personal_data"](spark, path).collect():
+        base = brute(texts[r.doc_id])
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == n for _, k, _ in base) for n in range(4))
+        assert r.base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest()
+        assert set(joined(base).split(",")) <= set(r.spans.split(","))
+        assert len(r.spans.split(",")) == max(1, len(base) + r.n_added)

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontamination, edit_embedding, hard_negatives, html_text, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
+from . import conversation_repair, decontamination, edit_embedding, hard_negatives, html_text, personal_data, piece_encoding, preferences, sharding, simhash, substring_dedup, toxicity, warc
 from .common import read_table
 
 # Folder of the public vocabularies; a parameter of the engine, not part of it.
@@ -92,13 +92,18 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows.withColumn("label", moved)).drop("anchor_row", "positive_rank")
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans of fixed patterns and the field's spans."""
+    return personal_data.report(read_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and repaired text's hash of every conversation, after planted damage."""
     return conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_edit_fingerprints, op3_piece_encoding, op4_html_text, op5_preference_format, op6_sharding, op7_warc, op8_substring_dedup, op9_simhash, op10_decontamination,
-                                   op11_hard_negatives, op13_conversation_repair)}
+                                   op11_hard_negatives, op12_personal_data, op13_conversation_repair)}
 
 _OP5_SQL = """
 WITH t AS (
