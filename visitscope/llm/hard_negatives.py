@@ -6,7 +6,8 @@ gains the component sqrt(M^2 - |x|^2), so all lie on one sphere, a query gains
 candidate with a covering radius r; from its inner product with a query the
 angle between them is known, every descendant lies within the angle that r
 spans on the sphere, and that bounds the descendants' inner products from both
-sides. A descent takes the node with the highest upper bound first, skips nodes
+sides. A descent opens the nodes with the highest upper bounds first (one, then
+four, sixteen ... at once, so that products run over whole blocks), skips nodes
 whose bounds miss every open score window (or fall below its k-th best so far,
 or whose candidates all have the wrong label), and computes the score of every
 candidate it reaches as an exact integer.
@@ -33,7 +34,6 @@ its other rows, and each copy is an anchor. An empty table gives an empty one.
 
 from __future__ import annotations
 
-import heapq
 import io
 from collections.abc import Iterator
 
@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, staged
 
 CENTRES = 256     # most cells, and rows of the sample on the driver
-SHARD = 2048      # rows a tree is meant to hold
-LEAF = 16         # a node of no more candidates has them as children
+SHARD = 4096      # rows a tree is meant to hold
+LEAF = 256        # a node of no more candidates has them as children
 BASE = 1.3        # covering radii of two levels
 SPREAD = 64       # bundles hold more than one tree only beyond so many trees
 BUNDLE = 32       # most trees of a bundle
@@ -162,25 +162,31 @@ class CoverTree:
         size = float(np.sqrt(query @ query)) * float(self.norm)
         slack = 1e-7 * size + 1e-6
         exact = self.largest * np.abs(query).max(initial=0.0) * len(query) < 2.0 ** 53
-        highs = np.array([high for _, high in windows], dtype=np.float64)
+        tops = np.array([high for _, high in windows], dtype=np.int64)
+        highs = tops.astype(np.float64)
 
         def offer(scores: np.ndarray, at: np.ndarray) -> None:
-            fit = (self.labels[at] == label) == alike
-            if uid >= 0:
-                fit &= self.uids[at] != uid
+            fit = np.flatnonzero((scores >= min(open_)) & (scores <= tops.max()))
             scores, at = scores[fit], at[fit]
-            for w, (_, high) in enumerate(windows):
-                in_it = (scores >= open_[w]) & (scores <= high)
-                if not in_it.any():
-                    continue
-                s = np.concatenate([found[w][0], scores[in_it]])
-                p = np.concatenate([found[w][1], at[in_it]])
-                if len(s) > k:
+            fit = ((self.labels[at] == label) == alike) & (self.uids[at] != uid)
+            scores, at = scores[fit], at[fit]
+            if not len(at):
+                return
+            order = np.argsort(-scores, kind="stable")
+            scores, at = scores[order], at[order]
+            begins = np.searchsorted(-scores, -tops)
+            ends = np.searchsorted(-scores, -np.array(open_), side="right")
+            for w in np.flatnonzero(begins < ends).tolist():
+                i, j = begins[w], ends[w]
+                if j - i > k:  # equal scores stay for the ids to decide
+                    j = np.searchsorted(-scores, -scores[i + k - 1], side="right")
+                s, p = scores[i:j], at[i:j]
+                if len(found[w][0]):
+                    s, p = np.concatenate([found[w][0], s]), np.concatenate([found[w][1], p])
+                if len(s) >= k:
                     kth = int(np.partition(s, len(s) - k)[len(s) - k])
                     open_[w] = max(open_[w], kth)
-                    s, p = s[s >= kth], p[s >= kth]  # equal scores stay for the ids to decide
-                elif len(s) == k:
-                    open_[w] = max(open_[w], int(s.min()))
+                    s, p = s[s >= kth], p[s >= kth]
                 found[w] = (s, p)
 
         def bounds(scores: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,33 +196,33 @@ class CoverTree:
             span = 2 * np.arcsin(np.clip(self.radius[nodes] / (2 * float(self.norm)), 0.0, 1.0))
             return (size * np.cos(np.minimum(np.pi, angle + span)) - slack, size * np.cos(np.maximum(0.0, angle - span)) + slack)
 
-        def wanted(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-            return ((high[:, None] >= np.array(open_, dtype=np.float64)) & (low[:, None] <= highs)).any(axis=1)
-
-        root = np.array([self.at[0]])
-        scores = _products(self.points[root], query, exact)
-        offer(scores, root)
-        low, high = bounds(scores, np.array([0]))
-        heap = [(-float(high[0]), 0, float(low[0]))]
-        while heap:
-            high_of, node, low_of = heapq.heappop(heap)
-            if not any(-high_of >= open_[w] and low_of <= windows[w][1] for w in range(len(windows))):
-                continue
-            if self.only[node] and (self.labels[self.at[node]] == label) != alike:
-                continue
-            nodes = np.arange(self.begin[node], self.end[node])
-            if not len(nodes):
-                continue
-            at = self.at[nodes]
-            scores = _products(self.points[at], query, exact)
-            new = at != self.at[node]  # a node's own candidate was scored with the node
+        def wanted(nodes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            alive = self.end[nodes] > self.begin[nodes]
+            alive &= ~self.only[nodes] | ((self.labels[self.at[nodes]] == label) == alike)
+            return alive & ((high[:, None] >= np.array(open_, dtype=np.float64)) & (low[:, None] <= highs)).any(axis=1)
+
+        root = np.array([0])
+        scores = _products(self.points[self.at[root]], query, exact)
+        offer(scores, self.at[root])
+        nodes, (low, high), width = root, bounds(scores, root), 1
+        while len(nodes):
+            near = wanted(nodes, low, high)
+            nodes, low, high = nodes[near], low[near], high[near]
+            # The nodes with the highest upper bounds, four times as many in each step, are opened at once.
+            order = np.argsort(-high, kind="stable")
+            now, rest = nodes[order[:width]], order[width:]
+            width *= 4
+            sizes = self.end[now] - self.begin[now]
+            children = np.arange(sizes.sum()) + np.repeat(self.begin[now] - np.cumsum(sizes) + sizes, sizes)
+            at = self.at[children]
+            scores = _products(self.points.take(at, axis=0), query, exact)
+            new = at != np.repeat(self.at[now], sizes)  # a node's own candidate was scored with the node
             offer(scores[new], at[new])
-            inner = self.end[nodes] > self.begin[nodes]
-            if inner.any():
-                low, high = bounds(scores[inner], nodes[inner])
-                near = wanted(low, high)
-                for n, lo, hi in zip(nodes[inner][near].tolist(), low[near].tolist(), high[near].tolist(), strict=True):
-                    heapq.heappush(heap, (-hi, n, lo))
+            inner = self.end[children] > self.begin[children]
+            below = children[inner]
+            more_low, more_high = bounds(scores[inner], below)
+            nodes = np.concatenate([nodes[rest], below])
+            low, high = np.concatenate([low[rest], more_low]), np.concatenate([high[rest], more_high])
         return [sorted((-int(s), bool(self.no_id[p]), int(self.ids[p]), int(self.uids[p])) for s, p in zip(*f, strict=True))[:k]
                 for f in found]
 
