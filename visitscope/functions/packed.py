@@ -55,6 +55,25 @@ def set_field(packed: Column | str, field: str, value: Column | str) -> Column:
     return F.rtrim(F.when(begin > 0, spliced).otherwise(c), F.lit(PACKED_FIELD_SEP))
 
 
+def increment(packed: Column | str, field: str, by: int = 1) -> Column:
+    """Add `by` to the counter `field` (accumulator add); an unknown field leaves the record as it is.
+
+    A value that is no number counts as 0.
+    """
+    count = F.coalesce(get_field(packed, field).try_cast("bigint"), F.lit(0)) + F.lit(by)
+    return set_field(packed, field, count.cast("string"))
+
+
+def entry_names(packed: Column | str) -> Column:
+    """Names of all `name=value` entries of a record, in order, as an array."""
+    return F.regexp_extract_all(_col(packed), F.lit("(?:^|[|])([^=|]*)="), F.lit(1))
+
+
+def entry_values(packed: Column | str) -> Column:
+    """Values of all `name=value` entries, beside `entry_names`; a value may hold `=`."""
+    return F.regexp_extract_all(_col(packed), F.lit("(?:^|[|])[^=|]*=([^|]*)"), F.lit(1))
+
+
 def pack(fields: Iterable[tuple[str, Column | str]]) -> Column:
     """`name=value|name=value` in the given order; null values as empty text."""
     parts = [

@@ -11,10 +11,13 @@ column instead of one per operator node keeps plan construction cheap.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import SESSION_COUNT, STEP_BANDS, VISIT_BANDS, stat_metrics
+from ..functions.packed import entry_names, entry_values
 
 METRICS = stat_metrics()
 
@@ -58,10 +61,36 @@ def slots_to_long(slots: DataFrame, metrics: list[str] | None = None) -> DataFra
     return slots.selectExpr(f"stack({len(wanted)}, {pairs}) as (metric, cnt)")
 
 
-def slots_to_packed(slots: DataFrame) -> DataFrame:
-    """One row, one text column: `session_count=…|1s_3s=…|…|60=…`."""
+def slots_to_packed(slots: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Each slot row as one text column: `session_count=…|1s_3s=…|…|60=…` (A13), beside the columns `by`."""
     parts = ", ".join(f"'{m}=' || CAST({_slot(i)} AS STRING)" for i, m in enumerate(METRICS))
-    return slots.selectExpr(f"concat_ws('|', {parts}) AS stat")
+    return slots.select(*by, F.expr(f"concat_ws('|', {parts}) AS stat"))
+
+
+def packed_to_slots(states: DataFrame, packed: str = "stat", by: Sequence[str] = ()) -> DataFrame:
+    """Packed counter states as slot rows.
+
+    A state is cut into entries once: two passes of a regular expression give
+    the arrays of names and values, and a counter is the value beside the
+    first entry of its name. A missing counter and one that is no number are
+    0, so a null or empty text is the zero state; other entries are ignored.
+    The generator keeps the optimizer from cutting again for every counter.
+    """
+    cut = F.inline(F.array(F.struct(entry_names(packed).alias("entry_names"), entry_values(packed).alias("entry_values"))))
+    counters = [F.expr(f"coalesce(try_cast(try_element_at(entry_values, CAST(nullif(array_position(entry_names, '{m}'), 0) AS INT))"
+                       f" AS BIGINT), 0) AS {_slot(i)}") for i, m in enumerate(METRICS)]
+    return states.select(*by, cut).select(*by, *counters)
+
+
+def merge_packed(states: DataFrame, packed: str = "stat", by: Sequence[str] = ()) -> DataFrame:
+    """Packed states merged field by field, one row for each value of `by` or one in all.
+
+    The states of a map task are summed before the shuffle, so a group that
+    holds most of them sends one row a task. No state at all merges to the
+    zero state, or to no group.
+    """
+    slots = packed_to_slots(states, packed, by)
+    return slots_to_packed(slots.groupBy(*by).agg(*slot_sums()), by)
 
 
 def _band_case(column: str, bands) -> Column:

@@ -10,6 +10,7 @@ value with the SQL statements in `plans.oracle`.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,13 +40,19 @@ from ..constants import (
     FIELD_STEP_LENGTH,
     FIELD_VISIT_LENGTH,
 )
+from ..operators.category import category_counts
 from ..operators.filters import FilterSpec
+from ..operators.flow import page_conversion, parse_flow
+from ..operators.product import product_clicks
 from ..operators.profile import attach_profile, match_report
 from ..operators.rollup import list_text, session_core, session_records, session_records_text
 from ..operators.sample import sample_row
-from ..operators.stats import step_band, visit_band
-from ..sources.testdata import GeneratedSource, read_table
-from .job import analyze_task, filtered_sessions, session_stats, session_stats_packed
+from ..operators.stats import merge_packed, step_band, visit_band
+from ..session import shared_folder
+from ..sources.results import read_task_results, write_task_result
+from ..sources.stored import stored_source
+from ..sources.testdata import GeneratedSource, basket_actions, read_table
+from .job import analyze_task, filtered_sessions, packed_user_states, session_report, session_stats, session_stats_packed
 from .params import find_task, parse_task_params
 
 # Filter values of the registered queries (task parameters).
@@ -53,6 +60,9 @@ RANGE_START = "2024-01-05"
 RANGE_END = "2024-01-11"
 LOOKUP_TASK_ID = 42
 TASK_STAT_ID = 12
+RESULT_TASK_IDS = (12, 42)
+PAGE_FLOW = "1,2,3,4,5,6,7,2"
+SOLD_STATUS = 1
 FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
 FIRST_NATIONS = tuple(sorted(f"NATION_{i}" for i in range(25))[:15])
 KEYWORDS = ("kw1", "kw2", "kw3")
@@ -235,6 +245,56 @@ def task_session_stat(spark, sf_dir):
     return analyze_task(src, src.tasks(), TASK_STAT_ID)
 
 
+def packed_merge(spark, sf_dir):
+    """The packed counters of every user merged into one state."""
+    return merge_packed(packed_user_states(_src(spark, sf_dir)))
+
+
+def packed_merge_by_city(spark, sf_dir):
+    """The packed counters of every user merged into one state a city."""
+    return merge_packed(packed_user_states(_src(spark, sf_dir)), by=["city"])
+
+
+def stored_session_stat(spark, sf_dir):
+    """The 16 counters of one week, from a catalog table partitioned by date and bucketed by session."""
+    src = _src(spark, sf_dir)
+    name = f"{spark.sparkContext.applicationId}_{zlib.crc32(sf_dir.encode()):08x}".replace("-", "_")
+    stored = stored_source(spark, src.actions(), src.users(), f"visitscope_actions_{name}", f"{shared_folder(spark)}/visitscope-actions-{name}")
+    return session_stats(stored, RANGE_START, RANGE_END)
+
+
+def task_results(spark, sf_dir):
+    """K3: counters of two stored tasks in one result table, the first task run twice."""
+    src = _src(spark, sf_dir)
+    path = f"{shared_folder(spark)}/visitscope-results-{zlib.crc32(sf_dir.encode()):08x}"
+    for task_id in (*RESULT_TASK_IDS, RESULT_TASK_IDS[0]):
+        write_task_result(analyze_task(src, src.tasks(), task_id), path, task_id)
+    return read_task_results(spark, path)
+
+
+# ---------------- declared in the reference without code ----------------
+
+def session_detail(spark, sf_dir):
+    """O1: action rows of the sessions that pass all six filters."""
+    return _action_text(session_report(_src(spark, sf_dir), spec=SPECS["session_filter"], how=None).details)
+
+
+def category_action_counts(spark, sf_dir):
+    """O2: clicks, orders and payments of every category, from lists of several ids."""
+    return category_counts(basket_actions(_src(spark, sf_dir).events()))
+
+
+def page_flow_conversion(spark, sf_dir):
+    """O3: one-step conversion over a flow of pages, actions of a session by time and event id."""
+    return page_conversion(_src(spark, sf_dir).ordered_actions(), parse_flow(PAGE_FLOW), order=["event_id"])
+
+
+def product_status_clicks(spark, sf_dir):
+    """Clicks of the products of one status."""
+    src = _src(spark, sf_dir)
+    return product_clicks(src.actions(), src.products(), SOLD_STATUS)
+
+
 # ---------------- column functions over the action table ----------------
 
 def _time_texts(spark, sf_dir) -> DataFrame:
@@ -388,6 +448,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "step_length_bands": step_length_bands,
     "session_stat_packed": session_stat_packed,
     "task_session_stat": task_session_stat,
+    "packed_merge": packed_merge,
+    "packed_merge_by_city": packed_merge_by_city,
+    "stored_session_stat": stored_session_stat,
+    "task_results": task_results,
+    "session_detail": session_detail,
+    "category_action_counts": category_action_counts,
+    "page_flow_conversion": page_flow_conversion,
+    "product_status_clicks": product_status_clicks,
     "time_parse": time_parse,
     "time_compare": time_compare,
     "time_diff_seconds": time_diff_seconds,

@@ -18,11 +18,13 @@ when it is not broadcast, and the single-row total):
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..functions.timefmt import format_time
+from ..operators.detail import detail_rows
 from ..operators.filters import FilterSpec, profile_predicate, session_hit_predicate
 from ..operators.profile import attach_profile
 from ..operators.rollup import session_core
@@ -70,6 +72,14 @@ def session_stats_packed(source, start=None, end=None, spec: FilterSpec = Filter
     return slots_to_packed(session_stat_slots(source, start, end, spec))
 
 
+def packed_user_states(source, start=None, end=None, spec: FilterSpec = FilterSpec()) -> DataFrame:
+    """(user_id, city, stat): the packed counters of every user's passing sessions."""
+    sessions = session_core(source.actions(start, end), spec).where(session_hit_predicate(spec))
+    per_user = sessions.groupBy("user_id").agg(*slot_counts())
+    users = source.users().where(profile_predicate(spec)).select("user_id", "city")
+    return slots_to_packed(per_user.join(users, "user_id", "inner"), by=["user_id", "city"])
+
+
 def run_request(source, request: TaskRequest) -> DataFrame:
     return session_stats(source, request.start_date, request.end_date, request.spec)
 
@@ -79,6 +89,28 @@ def analyze_task(source, tasks: DataFrame, task_id: int) -> DataFrame:
     return run_request(source, load_task_request(tasks, task_id))
 
 
+@dataclass(frozen=True)
+class SessionReport:
+    """Counters and detail rows of one set of passing sessions."""
+
+    passing: DataFrame
+    counters: DataFrame
+    details: DataFrame
+
+
+def session_report(source, start: str | dt.date | None = None, end: str | dt.date | None = None,
+                   spec: FilterSpec = FilterSpec(), how: str | None = "checkpoint") -> SessionReport:
+    """The passing sessions, kept once by `materialize`, and what is read from them.
+
+    The actions are rolled up, joined and filtered once; the 16 counters are
+    then counted over the kept sessions, without the action table, and the
+    detail rows are the actions that a semi-join with them leaves.
+    """
+    passing = materialize(filtered_sessions(source, start, end, spec), how)
+    counters = slots_to_long(passing.agg(*slot_counts()))
+    return SessionReport(passing, counters, detail_rows(source.actions(start, end), passing.where("step_length >= 1")))
+
+
 def materialize(df: DataFrame, how: str | None) -> DataFrame:
     """Keep an intermediate result for several consumers.
 

@@ -18,8 +18,11 @@ from .catalog import (
     FIRST_SEGMENTS,
     KEYWORDS,
     LOOKUP_TASK_ID,
+    PAGE_FLOW,
     RANGE_END,
     RANGE_START,
+    RESULT_TASK_IDS,
+    SOLD_STATUS,
     TASK_STAT_ID,
 )
 
@@ -123,7 +126,7 @@ def _stats_sql(where: str, metrics: list[str] | None = None, prefix: str | None
               f"FROM st JOIN ui USING (user_id) WHERE {where})\n" + body)
 
 
-def _packed_stat_sql() -> str:
+def _packed_stat_sql(by: str = "") -> str:
     rows = [(SESSION_COUNT, "TRUE")]
     for name, lo, hi in VISIT_BANDS:
         rows.append((name, f"visit_length >= {lo}" if hi is None else f"visit_length BETWEEN {lo} AND {hi}"))
@@ -132,8 +135,38 @@ def _packed_stat_sql() -> str:
     parts = " || '|' || ".join(
         f"'{name}=' || CAST(count(*) FILTER (WHERE {cond}) AS VARCHAR)" for name, cond in rows)
     return (_sessions()
-            + ", passed AS (SELECT st.* FROM st JOIN ui USING (user_id))\n"
-            + f"SELECT {parts} AS stat FROM passed")
+            + ", passed AS (SELECT st.*, ui.city FROM st JOIN ui USING (user_id))\n"
+            + f"SELECT {by + ', ' if by else ''}{parts} AS stat FROM passed" + (f" GROUP BY {by}" if by else ""))
+
+
+def _week_stats_sql() -> str:
+    window = f"WHERE CAST(ts AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'"
+    return _stats_sql("TRUE", prefix=_with(_ev(window), _UVA, _SESS, _SESS_TEXT, _UI))
+
+
+def _flow_sql() -> str:
+    pages = [int(p) for p in PAGE_FLOW.split(",")]
+    steps = list(zip(pages[:-1], pages[1:]))
+    counts = [f"count(*) FILTER (WHERE page_id = {a} AND next_page = {b}) AS v{k}" for k, (a, b) in enumerate(steps)]
+    shares = [f"SELECT {k}::INT AS step, '{a}_{b}' AS page_split, v{k} AS visits, {'starts' if k == 0 else f'v{k - 1}'} AS base FROM total"
+              for k, (a, b) in enumerate(steps)]
+    return (_with(_ev(), _UVA.replace("event_id % 10 AS page_id", "event_id % 10 AS page_id, event_id"),
+                  "nx AS (SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS next_page FROM uva)",
+                  f"total AS (SELECT count(*) FILTER (WHERE page_id = {pages[0]}) AS starts, {', '.join(counts)} FROM nx)")
+            + "SELECT *, CASE WHEN base = 0 THEN 0.0::DOUBLE ELSE visits::DOUBLE / base::DOUBLE END AS conversion_rate FROM ("
+            + " UNION ALL ".join(shares) + ") x")
+
+
+_CATEGORY_SQL = """WITH e AS (
+  SELECT event_type, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+c AS (
+  SELECT k AS category_id, 'click' AS kind FROM e WHERE event_type = 'click'
+  UNION ALL SELECT unnest([k, (k + 7) % 100]), 'order' FROM e WHERE event_type = 'signup'
+  UNION ALL SELECT k, 'order' FROM e WHERE event_type = 'signup' AND k % 3 = 0
+  UNION ALL SELECT unnest([k, (k * 3) % 120]), 'pay' FROM e WHERE event_type = 'purchase')
+SELECT category_id, count(*) FILTER (WHERE kind = 'click') AS click_count, count(*) FILTER (WHERE kind = 'order') AS order_count,
+       count(*) FILTER (WHERE kind = 'pay') AS pay_count
+FROM c WHERE category_id IS NOT NULL GROUP BY category_id"""
 
 
 _AGE = "age BETWEEN 10 AND 40"
@@ -294,6 +327,17 @@ ORACLE: dict[str, str] = {
     "step_length_bands": _stats_sql("TRUE", [b[0] for b in STEP_BANDS]),
     "session_stat_packed": _packed_stat_sql(),
     "task_session_stat": _task_stat_sql(TASK_STAT_ID),
+    "packed_merge": _packed_stat_sql(),
+    "packed_merge_by_city": _packed_stat_sql("city"),
+    "stored_session_stat": _week_stats_sql(),
+    "task_results": " UNION ALL ".join(f"SELECT *, {t}::BIGINT AS task_id FROM ({_task_stat_sql(t)}) t{t}" for t in RESULT_TASK_IDS),
+    "session_detail": _sessions() + _ACTION_TEXT + " WHERE session_id IN "
+        f"(SELECT st.session_id FROM st JOIN ui USING (user_id) WHERE {FILTERS['session_filter']})",
+    "category_action_counts": _CATEGORY_SQL,
+    "page_flow_conversion": _flow_sql(),
+    "product_status_clicks": _all_actions()
+        + "SELECT p_partkey AS product_id, p_name AS product_name, CAST(p_size % 2 AS INT) AS product_status, count(*) AS clicks "
+          f"FROM uva JOIN part ON p_partkey = click_product_id WHERE p_size % 2 = {SOLD_STATUS} GROUP BY ALL",
     "time_parse": _all_actions() + ", " + _TIME_TEXT
         + "SELECT action_time_text, CASE WHEN is_time THEN CAST(epoch(action_time) AS BIGINT) END AS epoch_seconds, "
           "CASE WHEN is_time THEN strftime(action_time, '%Y-%m-%d %H:%M:%S') END AS normalized FROM tt",

@@ -7,6 +7,8 @@ memory or the checkpoint folder of a running cluster.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings the results depend on (UTC times) or that the plans are
@@ -19,6 +21,8 @@ RUNTIME_CONF = {
     # A join side is broadcast only when its *measured* runtime size is
     # below this bound; beyond it AQE keeps the sort-merge join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Ids of a selected set filter the scan of the other join side before its shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
@@ -66,3 +70,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
             "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, for tables that a job writes and reads: `spark.checkpoint.dir`.
+
+    A local session without one gets a private folder; there driver and
+    executors are one process.
+    """
+    fallback = tempfile.mkdtemp(prefix="visitscope-") if spark.sparkContext.master.startswith("local") else None
+    return checkpoint_dir(spark, fallback).rstrip("/")

@@ -64,8 +64,19 @@ _ACTION_COLUMNS = [
 ]
 
 
-def actions_from_events(events: DataFrame) -> DataFrame:
-    """`user_visit_action` rows from `events` rows (columns as the typed schema).
+# As above, with lists of several ids: a neighbouring id, an id twice, an empty entry.
+_ORDER_LIST = "CASE WHEN event_type = 'signup' THEN concat_ws(',', k, (k + 7) % 100, CASE WHEN k % 3 = 0 THEN k END) END AS order_category_ids"
+_PAY_LIST = "CASE WHEN event_type = 'purchase' THEN concat(k, ',', (k * 3) % 120, CASE WHEN k % 4 = 0 THEN ',' ELSE '' END) END AS pay_category_ids"
+
+
+def basket_actions(events: DataFrame) -> DataFrame:
+    """(click_category_id, order_category_ids, pay_category_ids) of `events`, the lists with several ids."""
+    return events.selectExpr("event_type", "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k").selectExpr(
+        "CASE WHEN event_type = 'click' THEN k END AS click_category_id", _ORDER_LIST, _PAY_LIST)
+
+
+def actions_from_events(events: DataFrame, with_id: bool = False) -> DataFrame:
+    """`user_visit_action` rows from `events` rows (columns as the typed schema), with the event's id if asked for.
 
     A session is a time grain chosen by `user_id % 5`: the day, a quarter
     of the day, the hour, or ten minutes.
@@ -74,7 +85,7 @@ def actions_from_events(events: DataFrame) -> DataFrame:
         "event_id", "user_id", "event_type",
         "date_trunc('second', ts) AS t",
         "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k",
-    ).selectExpr(*_ACTION_COLUMNS)
+    ).selectExpr(*_ACTION_COLUMNS, *(["event_id"] if with_id else []))
 
 
 def _customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +125,10 @@ class GeneratedSource:
                 f"ts < CAST('{(hi + dt.timedelta(days=1)).isoformat()} 00:00:00' AS TIMESTAMP_NTZ)")
         return actions_from_events(ev)
 
+    def ordered_actions(self) -> DataFrame:
+        """All actions with the event's id, which orders actions of one second."""
+        return actions_from_events(self.events().select("event_id", "ts", "user_id", "event_type", "props"), with_id=True)
+
     def earliest_actions(self) -> DataFrame:
         """The actions of the least stored time, fetched by that time."""
         events = self.events().select("event_id", "ts", "user_id", "event_type", "props")
