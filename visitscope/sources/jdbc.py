@@ -11,6 +11,9 @@ reader/writer and are exercised only up to the point of connecting.
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
@@ -70,6 +73,88 @@ def read_table(spark: SparkSession, target: JdbcTarget, table: str, *,
     return r.load()
 
 
+def literal(value) -> str:
+    """A value as an SQL literal; text in quotes, quotes doubled."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def hash_predicates(column: str, parts: int, bucket_sql: Callable[[str, int], str] | None = None) -> list[str]:
+    """One WHERE clause a part by a hash of `column`, for keys that are no numbers.
+
+    `bucket_sql(column, parts)` is the database's expression for a number from
+    0 to parts - 1, null for a null key; the default is MySQL's and MariaDB's
+    CRC32. Every row is in exactly one part; nulls are in the first.
+    """
+    bucket = (bucket_sql or (lambda c, n: f"MOD(CRC32({c}), {n})"))(column, parts)
+    return [f"{bucket} = {k}" + (f" OR {column} IS NULL" if k == 0 else "") for k in range(parts)]
+
+
+def range_predicates(column: str, cuts: Sequence, hot: Callable[[str], list[str]] | None = None) -> list[str]:
+    """WHERE clauses that cut `column` at the measured quantiles `cuts`.
+
+    Every row is in exactly one clause; nulls are in the first. A value that
+    stands more than once among the cuts fills a whole part by itself and gets
+    a clause of its own, which `hot(clause)` may split further, by a hash of
+    another column for instance.
+    """
+    ordered = sorted(c for c in cuts if c is not None)
+    twice = {c for a, c in zip(ordered, ordered[1:], strict=False) if a == c}
+    points = sorted(set(ordered))
+    if not points:
+        return ["1 = 1"]
+    clauses, low = [], None
+    for point in [*points, None]:
+        parts = []
+        if low is not None:
+            parts.append(f"{column} {'>' if low in twice else '>='} {literal(low)}")
+        if point is not None:
+            parts.append(f"{column} < {literal(point)}")
+        clause = " AND ".join(parts)
+        clauses.append(f"{clause} OR {column} IS NULL" if low is None else clause)
+        if point in twice:
+            single = f"{column} = {literal(point)}"
+            clauses += hot(single) if hot else [single]
+        low = point
+    return clauses
+
+
+def measured_cuts(sample: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list:
+    """The parts - 1 inner quantiles of a number, date or time `column` over `sample`, repeated where a value is hot.
+
+    One aggregate with mergeable sketches. `sample` is what the database gives
+    of the key column, by a sampling query where the table is large.
+    """
+    if dict(sample.dtypes)[column] == "string":
+        raise ValueError(f"{column} is text; split it by hash_predicates")
+    shares = ", ".join(str(k / parts) for k in range(1, parts))
+    if parts < 2:
+        return []
+    found = sample.selectExpr(f"percentile_approx({column}, array({shares}), {accuracy}) AS cuts").first()["cuts"]
+    return list(found or [])
+
+
+def read_split(spark: SparkSession, target: JdbcTarget, table: str, predicates: Sequence[str], fetch_size: int = 10_000) -> DataFrame:
+    """A database table read by one query for each of `predicates`.
+
+    For keys that ranges of equal width would split unevenly: see
+    `range_predicates` and `hash_predicates`.
+    """
+    if not predicates:
+        raise ValueError("at least one predicate is needed")
+    properties = {k: v for k, v in target.options().items() if k != "url"} | {"fetchsize": str(fetch_size)}
+    return spark.read.jdbc(target.url, table, predicates=[f"({p})" for p in predicates], properties=properties)
+
+
 def read_query(spark: SparkSession, target: JdbcTarget, query: str) -> DataFrame:
     """Rows of a SELECT run by the database (S6); one connection, so for small results."""
     return reader(spark, target).option("query", query).load()
@@ -120,14 +205,28 @@ def write_table(df: DataFrame, target: JdbcTarget, table: str, **kwargs) -> None
     writer(df, target, table, **kwargs).save()
 
 
-def append_task_once(rows: DataFrame, target: JdbcTarget, table: str, task_id: int) -> bool:
+EXISTS_QUERY = "SELECT count(*) AS n FROM information_schema.tables WHERE lower(table_name) = lower({name})"
+
+
+def table_exists(spark: SparkSession, target: JdbcTarget, table: str, exists_query: str = EXISTS_QUERY) -> bool:
+    """Whether the database has `table`, asked of its catalog; the default query is the SQL standard's."""
+    name = literal(table.rsplit(".", 1)[-1].strip('"`[]'))
+    return read_query(spark, target, exists_query.format(name=name)).first()["n"] > 0
+
+
+def append_task_once(rows: DataFrame, target: JdbcTarget, table: str, task_id: int, exists_query: str = EXISTS_QUERY) -> bool:
     """Append a task's result rows in one transaction unless the table has them; whether it wrote.
 
-    The rows go out as one partition, so a failed run leaves none of them and a
-    repeated run finds all or nothing.
+    An absent table is created by the append. The rows go out as one partition,
+    so a failed run leaves none of them and a repeated run finds all or nothing.
+    The look-up and the append are two steps: of two runs of one task at the
+    same time both may write. A unique key on (task_id, metric) in the database
+    makes the second one fail as a whole; without it, run a task once at a time.
     """
-    stored = read_table(rows.sparkSession, target, table)
-    if not stored.where(F.col("task_id") == F.lit(int(task_id))).limit(1).isEmpty():
-        return False
+    spark = rows.sparkSession
+    if table_exists(spark, target, table, exists_query):
+        stored = read_table(spark, target, table)
+        if not stored.where(F.col("task_id") == F.lit(int(task_id))).limit(1).isEmpty():
+            return False
     write_table(rows, target, table, num_partitions=1)
     return True
