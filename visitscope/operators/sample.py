@@ -1,9 +1,9 @@
 """One sample row of a table (L1).
 
 The row is the first by one stored key, ties by all columns, so repeated
-runs return the same row. The key's least value is found in a scan of that
-one column; the rows that have it are then fetched by an equality, which
-reaches the scan.
+runs return the same row. The key's least value is a scalar subquery over that
+one column; the rows that have it are fetched by an equality, which reaches the
+scan with the subquery's value. All of it is one query, run when it is read.
 """
 
 from __future__ import annotations
@@ -13,13 +13,9 @@ from pyspark.sql import functions as F
 
 
 def least_rows(df: DataFrame, key: str) -> DataFrame:
-    """The rows of `df` whose `key` is least; those without a key where no row has one.
-
-    The one value travels as text: a Python time would be read in the zone of
-    the Python process.
-    """
-    least = df.agg(F.min(key).cast("string")).first()[0]
-    return df.where(F.col(key).eqNullSafe(F.lit(least).cast(df.schema[key].dataType)))
+    """The rows of `df` whose `key` is least; those without a key where no row has one."""
+    least = df.agg(F.min(key)).scalar()
+    return df.where(F.col(key).eqNullSafe(least))
 
 
 def sample_row(df: DataFrame, key: str | None = None) -> DataFrame:
