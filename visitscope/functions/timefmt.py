@@ -24,21 +24,17 @@ def _col(c: Column | str) -> Column:
 def parse_time(text: Column | str) -> Column:
     """Text to timestamp; null when the text is not a time.
 
-    Texts that begin with a padded time, and texts that are nothing but a time
-    with a year of four digits, are told by their separators and cast, which
-    takes no regular expression; only what that leaves is searched for one.
+    A text that begins with a padded time is told by its separators and cast,
+    which takes no regular expression; only other texts are searched.
     """
     c = _col(text)
     head = F.substr(c, F.lit(1), F.lit(19))
-    separators = F.lit("-- ::")
-    year = c >= "1"  # the year 0 does not exist; a cast would take it
-    padded = (F.translate(head, "0123456789", "") == separators) & year
-    for place, sign in ((5, "-"), (8, "-"), (11, " "), (14, ":"), (17, ":")):
-        padded &= F.substr(c, F.lit(place), F.lit(1)) == sign
-    whole = (F.translate(c, "0123456789", "") == separators) & year & (F.substr(c, F.lit(5), F.lit(1)) == "-")
-    prefix = F.regexp_extract(c, TIME_PREFIX, 1)
-    return F.coalesce(F.when(padded, head.try_cast("timestamp")).when(whole, c.try_cast("timestamp")),
-                      F.try_to_timestamp(F.regexp_replace(prefix, " +", " "), F.lit(TIME_PARSE_FORMAT)))
+    # The year 0 does not exist; a cast would take it.
+    padded = (F.translate(head, "0123456789", "##########") == "####-##-## ##:##:##") & (c >= "0001")
+    # No prefix is null, not a text whose parsing fails by an exception.
+    prefix = F.nullif(F.regexp_extract(c, TIME_PREFIX, 1), F.lit(""))
+    return F.when(padded, head.try_cast("timestamp")).otherwise(
+        F.try_to_timestamp(F.regexp_replace(prefix, " +", " "), F.lit(TIME_PARSE_FORMAT)))
 
 
 def before(time1: Column | str, time2: Column | str) -> Column:

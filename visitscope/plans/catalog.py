@@ -299,23 +299,21 @@ def product_status_clicks(spark, sf_dir):
 
 def _time_texts(spark, sf_dir) -> DataFrame:
     """Action times as text in ten forms, by page: lenient, padded, and three that are no times."""
-    padded, day = format_time("action_time"), format_date("date")
-    clock = F.date_format("action_time", "HH:mm:ss")
+    padded, clock = "date_format(action_time, 'yyyy-MM-dd HH:mm:ss')", "date_format(action_time, 'HH:mm:ss')"
+    day = "date_format(date, 'yyyy-MM-dd')"
     forms = [
-        F.date_format("action_time", UNPADDED_TIME),
-        F.concat(padded, F.lit(".0")),
-        F.concat(padded, F.lit(".123")),
-        F.date_format("action_time", "y-M-d H:m:s"),
-        F.concat(padded, F.lit(" x")),
-        F.date_format("action_time", "yyyy/MM/dd HH:mm:ss"),
-        F.concat(F.lit("2024-02-30 "), clock),
-        F.concat(F.lit(" "), day, F.lit("  "), clock),
-        F.concat(day, F.lit("T"), clock),
+        f"date_format(action_time, '{UNPADDED_TIME}')",
+        f"concat({padded}, '.0')",
+        f"concat({padded}, '.123')",
+        "date_format(action_time, 'y-M-d H:m:s')",
+        f"concat({padded}, ' x')",
+        "date_format(action_time, 'yyyy/MM/dd HH:mm:ss')",
+        f"concat('2024-02-30 ', {clock})",
+        f"concat(' ', {day}, '  ', {clock})",
+        f"concat({day}, 'T', {clock})",
     ]
-    text = F.when(F.lit(False), padded)
-    for page, form in enumerate(forms):
-        text = text.when(F.col("page_id") == page, form)
-    return _all_actions(spark, sf_dir).select("date", text.otherwise(padded).alias("action_time_text"))
+    text = " ".join(f"WHEN {page} THEN {form}" for page, form in enumerate(forms))
+    return _all_actions(spark, sf_dir).selectExpr("date", f"CASE page_id {text} ELSE {padded} END AS action_time_text")
 
 
 def time_parse(spark, sf_dir):

@@ -85,7 +85,8 @@ def filter_date_range(actions: DataFrame, start: str | dt.date | None, end: str
     """Action rows whose stored `date` lies in [start, end], both ends included.
 
     Text dates are compared as text, which orders `yyyy-MM-dd` rightly and
-    reaches the scan as typed dates do.
+    reaches the scan as typed dates do. Dates are not read leniently as times
+    are: a text such as `2024-1-5` is in no range.
     """
     found = date_range(start, end)
     if found is None:
