@@ -126,3 +126,128 @@ def test_query_over_pages(spark):
         blocks = re.split(r"</?(?:h1|p)>", article)
         lines = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split()) for b in blocks]
         assert found[page.page_id] == "\n".join(x for x in lines if x)
+
+
+LONG = "Words of a paragraph that is long enough for a surge when another one of its kind follows right after it."
+
+
+def test_class_words_do_not_take_article_parts():
+    for name in ("hidden-gem", "related-work", "search-results", "social-history", "share-price", "tags-explained", "has-sidebar", "no-comments-yet",
+                 "entry-header", "post-share", "form-letter", "comment-culture"):
+        assert H.main_text(f"<article><p>one</p><div class='{name}'><p>two</p></div><p>three</p></article>") == "one\ntwo\nthree", name
+    for name in ("related", "cookie-notice", "site-footer", "comment-list", "main-menu", "ad-container", "post-comments", "ad1", "share_buttons",
+                 "navBar", "x sidebar", "top-banner-ad", "related-posts", "newsletter-signup"):
+        assert H.main_text(f"<article><p>one</p><div class='{name}'><p>two</p></div><p>three</p></article>") == "one\nthree", name
+
+
+def test_a_form_around_the_page_is_no_form():
+    for page in ("<body><form id=f><h1>Head</h1><p>text</p><button>Go</button></form></body>",
+                 f"<form><div><h1>Head</h1><p>text</p><p>{LONG}</p></div><select><option>x</select></form>",
+                 "<form><article><h1>Head</h1><p>text</p></article></form>"):
+        assert H.main_text(page).startswith("Head\ntext") and "Go" not in H.main_text(page)
+    assert H.main_text(f"<h1>Head</h1><p>{LONG}</p><form><p>Name</p><input><p>{LONG[:40]}</p></form><p>end</p>") == f"Head\n{LONG}\nend"
+
+
+def test_a_closing_paragraph_of_one_link_stays():
+    page = f"<body><div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p><a href=x>Source: the report</a></p></div><div><a href=1>a</a><a href=2>b</a></div></body>"
+    assert H.main_text(page) == f"Head\n{LONG}\n{LONG}\nSource: the report"
+
+
+def test_unmarked_furniture_falls_away_at_surge_and_dive():
+    page = (f"<body><div>The Daily Site</div><div><p>{LONG}</p></div><div><h1>Head</h1></div><div><p>By someone</p><p>{LONG}</p><p>Short.</p></div>"
+            f"<div><p>{LONG}</p><p>{LONG}</p><p>Last.</p></div><div>All rights reserved by the site.</div><div><p>{LONG}</p></div></body>")
+    assert H.main_text(page) == "\n".join(["Head", "By someone", LONG, "Short.", LONG, LONG, "Last."])
+    soup = f"<body><div><div>Site</div></div><div><div>{LONG}</div><div>Short.</div><div>{LONG}</div><div>Last.</div></div><div>rights</div></body>"
+    assert H.main_text(soup) == "\n".join([LONG, "Short.", LONG, "Last."])
+
+
+def test_window_and_threshold_decide(monkeypatch):
+    page = f"<body><div><p>Site of the day</p><p>and of the night</p></div><div><p>{LONG}</p><p>{LONG}</p></div><div><p>rights</p><p>reserved</p></div></body>"
+    assert H.main_text(page) == f"{LONG}\n{LONG}"
+    monkeypatch.setattr(H, "SURGE", 20)
+    assert H.main_text(page) == f"Site of the day\nand of the night\n{LONG}\n{LONG}"
+    monkeypatch.setattr(H, "SURGE", 80)
+    monkeypatch.setattr(H, "WINDOW", 5)
+    assert H.main_text(page) == f"Site of the day\nand of the night\n{LONG}\n{LONG}\nrights\nreserved"
+
+
+def brute_pages(rnd):
+    """(page, blocks): containers of paragraphs, titles, lists of links and marked parts, without an article."""
+    blocks, out = [], []
+    for _ in range(rnd.randint(1, 6)):
+        depth = rnd.randint(1, 2)
+        inner = []
+        for _ in range(rnd.randint(0, 4)):
+            kind = rnd.choice(["p", "p", "p", "h1", "links", "ad", "link"])
+            text = " ".join(rnd.choice(["a", "bb", "word", "longer"]) for _ in range(rnd.choice([1, 2, 5, 30])))
+            if kind == "ad":
+                inner.append(("ad", text))
+            elif kind == "links":
+                inner.append(("links", text))
+            else:
+                inner.append((kind, text))
+        blocks.append((depth, inner))
+        shown = {"p": "<p>{}</p>", "h1": "<h1>{}</h1>", "links": "<p><a href=1>{0}</a> <a href=2>{0}</a></p>", "ad": "<div class=ad>{}</div>",
+                 "link": "<p><a href=1>{}</a></p>"}
+        out.append("<div>" * depth + "".join(shown[k].format(t) for k, t in inner) + "</div>" * depth)
+    return "<body>" + "".join(out) + "</body>", blocks
+
+
+def brute_text(blocks, window, surge, border):
+    """The definition line by line: rows of (text, length, title), None for an empty line."""
+    rows = []
+    for depth, inner in blocks:
+        rows += [None] * (border * depth)
+        for kind, text in inner:
+            if kind == "links":
+                rows.append((f"{text} {text}", 0, False))
+            elif kind != "ad":
+                rows.append((text, len(text.replace(" ", "")), kind == "h1"))
+        rows += [None] * (border * depth)
+    texts = [r for r in rows if r is not None]
+    flat = [r for r in rows if r is None or r[1]]   # lines of links take no room
+    size = [0 if r is None else r[1] for r in flat]
+
+    def total(k):
+        return sum(size[k:k + window])
+
+    spans, k = [], 0
+    while k < len(flat):
+        if total(k) > 0:
+            end = k
+            while end < len(flat) and total(end) > 0:
+                end += 1
+            spans.append((k, end))
+            k = end
+        k += 1
+    if not spans:
+        return ""
+    high = [s for s in spans if any(size[k] and total(k) >= surge and k + 1 < len(flat) and total(k + 1) > 0 for k in range(*s))]
+    if not high:
+        top = max(max(total(k) for k in range(*s)) for s in spans)
+        high = [s for s in spans if max(total(k) for k in range(*s)) == top]
+    inside = [r for r in flat[high[0][0]:high[-1][1]] if r is not None]
+    at = [id(r) for r in texts]
+    first, last = at.index(id(inside[0])), at.index(id(inside[-1]))
+    titles = [k for k in range(first) if texts[k][2]]
+    return "\n".join(r[0] for r in texts[titles[-1] if titles else first:last + 1])
+
+
+def test_random_pages_against_the_definition():
+    import random
+    rnd, differ = random.Random(9), 0
+    for _ in range(4000):
+        page, blocks = brute_pages(rnd)
+        if not any(kind in ("p", "h1", "link") for _, inner in blocks for kind, _ in inner):
+            continue  # nothing but adverts: their name stands for the page
+        want = brute_text(blocks, H.WINDOW, H.SURGE, H.BORDER)
+        assert H.main_text(page) == want, page
+        differ += want != brute_text(blocks, H.WINDOW, 10**9, H.BORDER)
+    assert differ > 500  # the threshold decides on many of them
+
+
+def test_parts_within_a_line():
+    assert H.main_text("<p>Click <button>Go</button> now</p><p>b</p>") == "Click now\nb"
+    assert H.main_text("<p>Click <span class=ad>Buy <b>this</b></span>now<p>b") == "Click now\nb"
+    assert H.main_text("<div>a <span hidden>x<p>y</p>z</span> b</div>") == "a\nb"
+    assert H.main_text("<p>a <svg><title>t</title></svg> b <button>c") == "a b"

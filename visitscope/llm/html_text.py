@@ -1,23 +1,37 @@
 """Operator 4: main text of HTML pages by the distribution of line blocks.
 
-Markup is stripped to lines, one for each block element. Parts that are marked
+Markup is stripped to lines, one for each block of text. Parts that are marked
 as something else (scripts, styles, forms, menus, page headers and footers,
-sidebars, notices, adverts, reader comments) leave lines of no length, as do
-lines without a letter or digit outside their links. Over the lengths that
-remain, sums of a sliding window of `WINDOW` lines rise at surge points and
-fall back to nothing at dive points. On a page that names its article all lines
-inside it that are not marked are the main text; else those from the first
-surge to the last dive are, so that only lines of links before and after the
-text fall away.
-
-Short lines and lines of links within the text stay, whatever stands between
-them. Character references are decoded, white space within a line becomes one space, and lines are joined by
-a line feed. Defined results: null html is the empty page; a page without text
-gives the empty text; unclosed and stray tags are taken as browsers do, as far
-as blocks go: paragraphs, list items, terms and table parts end where the next
-begins, a head holds no text of its own, an end tag ends what stands open in
-its element, but a named article ends only by its own; rows that repeat and null ids are extracted like any other; other
-columns are not read.
+sidebars, notices, adverts, reader comments) leave no line. A line's length is
+its text outside links. Lines of links alone have none, but for a paragraph that
+is one link, and take no room among the others; they stay where they stand
+between lines of the main text. Blocks of text within one container (paragraphs, headings,
+lists, tables) follow each other; each border of a container (`CONTAINERS`)
+between two lines counts as `BORDER` empty lines, unless both lines are the
+direct text of like containers side by side, as where every paragraph is a div.
+
+On a page that names its article, all lines inside it that are not marked are
+the main text. Else the sums of `WINDOW` lines decide. Where a sum rises from
+nothing a stretch of lines begins, where it falls back to nothing it ends. A
+stretch surges if from one of its lines on a window holds `SURGE` characters or
+more and the lines after that one hold text, too; so a long line that stands
+alone does not. The main text goes from the first surging stretch to the dive
+at the end of the last one, with all lines between, and begins at the last `h1`
+before the surge. Where no stretch surges, those of the highest sum stand in.
+
+A form that holds more text than the rest of the page is the page, not a form.
+A class, id or role marks a part if it is a word of `APART_WORDS`, or made of
+such words and words for places on a page (`PLACES`) alone: `cookie-notice` and
+`site-footer` do, `hidden-gem` and `search-results` do not.
+
+Character references are decoded, white space within a line becomes one space,
+and lines are joined by a line feed. Defined results: null html is the empty
+page; a page without text, or of nothing but lists of links, gives the empty
+text; unclosed and stray tags are taken as browsers do, as far as blocks go:
+paragraphs, list items, terms and table parts end where the next begins, a head
+holds no text of its own, an end tag ends what stands open in its element, but
+a named article ends only by its own; rows that repeat and null ids are
+extracted like any other; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,10 +49,13 @@ from pyspark.sql import types as T
 from .common import map_batches, small_batches, texts
 
 WINDOW = 3
+SURGE = 80   # characters of a window that make a surge
+BORDER = 2   # empty lines that a container's border counts as
 
 # Elements whose text is never shown as text, or never part of an article.
 UNSEEN = frozenset("script style noscript template svg math title iframe object audio video canvas select datalist".split())
-APART = frozenset("nav footer aside form menu dialog button fieldset textarea figure-tools".split())
+APART = frozenset("nav footer aside menu dialog button fieldset textarea figure-tools".split())
+CONTAINERS = frozenset("article center details div fieldset header main section".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre search section summary
     table tbody td tfoot th thead tr ul""".split())
@@ -55,12 +72,17 @@ TABLE_PARTS = frozenset((*_CELLS, "tr", *_ROWS))
 LISTS = ("ul", "ol", "menu", "dir")
 # Blocks through which an item or term still ends the one before.
 PASSED = frozenset("address div p li dt dd".split())
-# Words of class, id and role that mark a part as something else than the article.
+# Words of class, id and role that mark a part as something else than the article.
 APART_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs
     captcha comment comments commentlist complementary consent contentinfo cookie cookies copyright disclaimer disqus footer form
     gdpr header hidden login masthead menu modal nav navbar navbox navigation newsletter notice notices notification outbrain overlay
     pager pagination paywall popup promo promoted promotion recommended related reply replies respond search share sharing
     sidebar signup skip social sponsor sponsored subscribe subscription taboola tagcloud tags teaser toc toolbar topbar widget""".split())
+# Words that only say where or what kind of part it is.
+PLACES = frozenset("""area article articles bar block blog body bottom box button buttons center col column container content
+    entry global holder icons inner item items label left line link links list lower main middle outer page panel post posts
+    primary right row secondary section side site slot space story strip sub tertiary thread top unit upper web wrap wrapper
+    zone""".split())
 
 RAW = frozenset("script style textarea title noscript template svg math iframe".split())
 
@@ -78,19 +100,16 @@ _REST = re.compile(r"[^<>]*+>?")
 # The attributes that say what an element is.
 TELLING = frozenset("class id role hidden aria-hidden style".split())
 _WORD = re.compile(r"[^\W_]")
-# A class that begins so describes the page around, or a part of the article.
-AROUND = frozenset(("has", "no", "with", "without"))
+# What a part of the article may be named beside the word for the article itself.
 OF_ARTICLE = frozenset(("article", "entry", "post", "story", "content", "main"))
 OF_ARTICLE_KEPT = frozenset(("header", "form", "reply", "share"))
 
 
 def _apart_name(name: str) -> bool:
     parts = re.findall("[a-z]+", name)
-    if not parts or parts[0] in AROUND:
+    if not parts or parts[0] in OF_ARTICLE and parts[-1] in OF_ARTICLE_KEPT:
         return False
-    if parts[0] in OF_ARTICLE and parts[-1] in OF_ARTICLE_KEPT:
-        return False
-    return parts[0] in APART_WORDS or parts[-1] in APART_WORDS
+    return any(p in APART_WORDS for p in parts) and all(p in APART_WORDS or p in PLACES for p in parts)
 
 
 def marked_apart(attrs: dict[str, str]) -> bool:
@@ -160,27 +179,38 @@ class Tokens:
 
 
 class Open:
-    """The open elements of a page, and how many of them are apart or a named article."""
+    """The open elements of a page, and how many of them are apart, a form or a named article."""
 
     def __init__(self):
-        self.apart = self.named = 0
-        self._stack: list[tuple[str, bool, bool]] = []  # (tag, apart, named)
+        self.apart = self.forms = self.named = 0
+        self._stack: list[tuple[str, bool, bool, bool]] = []  # (tag, apart, form, named)
         self._at = defaultdict(list)                     # places of each tag on it
         self._blocks: list[int] = []                     # places of blocks that shut in items and terms
         self._articles: list[int] = []                   # places of named articles
+        self._shown: list[tuple[int, str, str, int]] = [(-1, "", "", 0)]  # (place, tag, class, number) of every block
+        self._number = 0
 
     def holds(self, tag: str) -> bool:
         return bool(self._at[tag])
 
-    def push(self, tag: str, apart: bool, named: bool) -> None:
+    def innermost(self) -> tuple[str, str, int]:
+        """(tag, class, number of the block around it) of the innermost open block."""
+        _, tag, name, _ = self._shown[-1]
+        return tag, name, self._shown[-2][3] if len(self._shown) > 1 else -1
+
+    def push(self, tag: str, apart: bool, form: bool, named: bool, name: str = "") -> None:
         place = len(self._stack)
         self._at[tag].append(place)
-        if tag in BLOCKS and tag not in PASSED:
-            self._blocks.append(place)
+        if tag in BLOCKS:
+            self._number += 1
+            self._shown.append((place, tag, name, self._number))
+            if tag not in PASSED:
+                self._blocks.append(place)
         if named:
             self._articles.append(place)
-        self._stack.append((tag, apart, named))
+        self._stack.append((tag, apart, form, named))
         self.apart += apart
+        self.forms += form
         self.named += named
 
     def _last(self, *tags: str) -> int:
@@ -188,13 +218,16 @@ class Open:
 
     def _cut(self, size: int) -> None:
         while len(self._stack) > size:
-            tag, apart, named = self._stack.pop()
+            tag, apart, form, named = self._stack.pop()
             self._at[tag].pop()
             self.apart -= apart
+            self.forms -= form
             self.named -= named
         for places in (self._blocks, self._articles):
             while places and places[-1] >= size:
                 places.pop()
+        while self._shown[-1][0] >= size:
+            self._shown.pop()
 
     def start(self, tag: str) -> None:
         """Ends the elements whose end tags were left out before this start tag."""
@@ -216,55 +249,96 @@ class Open:
 
 
 class Lines:
-    """Lines of a page: their text, their length as article text, and whether they lie in a named article."""
+    """Lines of a page that are not apart: text, length, whether a title, in a named article or in a form.
+
+    `gap` has the empty lines before each line, `gap_outside` those that borders
+    outside forms make between lines outside forms.
+    """
 
     def __init__(self, page: str, by_class: bool = True):
         self.text: list[str] = []
         self.length: list[int] = []
+        self.title: list[bool] = []
         self.named: list[bool] = []
+        self.form: list[bool] = []
+        self.gap: list[int] = []
+        self.gap_outside: list[int] = []
         self._held: list[str] = []
         self._plain = False                       # whether a held letter or digit lies outside links
-        links, opened = 0, Open()
+        self._links = 0                           # links begun in the held text
+        self._mark: int | None = None             # where a part within the held line began that is apart
+        self._empty = self._empty_outside = 0
+        self._before: tuple | None = None
+        linked, opened = 0, Open()
         for part, tag, closing, alone, attrs in Tokens(page):
             if part is not None:
                 self._held.append(part)
-                if not links and not self._plain:
+                if not linked and not self._plain and not opened.apart:
                     self._plain = _WORD.search(html.unescape(part)) is not None
                 continue
             if tag in BLOCKS:
-                self._close(opened.apart > 0, opened.named > 0)
-                links = 0 if closing else links  # a link left open ends with its block
+                self._close(opened)
+                linked = 0 if closing else linked  # a link left open ends with its block
             elif tag == "br":
                 self._held.append(" ")
             if tag == "a":
-                links = 0 if closing else 1
+                linked = 0 if closing else 1
+                self._links += linked
             if closing:
+                self._border(tag, opened)
                 opened.end(tag)
+                self._resume(opened)
                 continue
             opened.start(tag)
+            self._resume(opened)
             if tag in VOID or tag in PAGE or alone and tag not in BLOCKS:
                 continue
             is_apart = (tag in UNSEEN or tag in APART or tag == "header" and not opened.named
                         or by_class and bool(attrs) and marked_apart(attrs))
+            is_form = tag == "form"
             is_named = tag in NAMED and not opened.apart and not is_apart
             # Of the elements within lines only those that carry a meaning or may hold one of the same tag matter.
             if is_apart or is_named or tag in BLOCKS or opened.holds(tag):
-                if is_apart and not opened.apart:
-                    self._close(False, opened.named > 0)
-                opened.push(tag, is_apart, is_named)
-        self._close(opened.apart > 0, opened.named > 0)
-
-    def _close(self, apart: bool, named: bool) -> None:
+                if is_apart and not opened.apart and tag not in BLOCKS:
+                    self._mark = len(self._held)
+                if not is_apart:
+                    self._border(tag, opened)
+                opened.push(tag, is_apart, is_form, is_named, attrs.get("class", ""))
+        self._close(opened)
+
+    def _border(self, tag: str, opened: Open) -> None:
+        if tag in CONTAINERS and not opened.apart:
+            self._empty += BORDER
+            self._empty_outside += 0 if opened.forms else BORDER
+
+    def _resume(self, opened: Open) -> None:
+        """Forgets the text of a part within the line that was apart, once it has ended."""
+        if self._mark is not None and not opened.apart:
+            del self._held[self._mark:]
+            self._mark = None
+
+    def _close(self, opened: Open) -> None:
         if not self._held:
             return
-        raw = "".join(self._held)
-        text = " ".join(html.unescape(raw).split())
+        if opened.apart:
+            del self._held[self._mark or 0:]
+            self._mark = None
+        text = " ".join(html.unescape("".join(self._held)).split())
         if text:
-            own = sum(map(len, text.split()))
-            self.text.append("" if apart else text)
-            self.length.append(own if not apart and (self._plain or named) else 0)
-            self.named.append(named)
-        self._held, self._plain = [], False
+            tag, name, around = block = opened.innermost()
+            own = self._plain or opened.named > 0 or tag == "p" and self._links == 1
+            self.text.append(text)
+            self.length.append(len(text) - text.count(" ") if own else 0)
+            self.title.append(tag == "h1")
+            self.named.append(opened.named > 0)
+            self.form.append(opened.forms > 0)
+            # Direct text of like containers side by side runs on.
+            alike = tag in CONTAINERS and block == self._before
+            self.gap.append(0 if alike else self._empty)
+            self.gap_outside.append(0 if alike or opened.forms else self._empty_outside)
+            self._before, self._empty = block, 0
+            self._empty_outside = self._empty_outside if opened.forms else 0
+        self._held, self._plain, self._links = [], False, 0
 
 
 def stretches(length: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
@@ -274,6 +348,25 @@ def stretches(length: np.ndarray, window: int = WINDOW) -> list[tuple[int, int,
     return [(int(a), int(b), int(sums[a:b].max())) for a, b in zip(edges[0::2], edges[1::2], strict=True)]
 
 
+def surging(length: np.ndarray, window: int = WINDOW, surge: int = SURGE) -> tuple[int, int] | None:
+    """(first, after the last) of the lines from the first surging stretch to the last dive; None without text.
+
+    Where no stretch surges, the stretches of the highest sum are taken for it.
+    """
+    found = stretches(length, window)
+    if not found:
+        return None
+    sums = np.convolve(length, np.ones(window, dtype=np.int64))[window - 1:]
+    after = np.concatenate([sums[1:], [0]])  # of the lines after each
+    rising = (length > 0) & (sums >= surge) & (after > 0)
+    chosen = [(a, b) for a, b, _ in found if rising[a:b].any()]
+    if not chosen:
+        top = max(s for _, _, s in found)
+        chosen = [(a, b) for a, b, s in found if s == top]
+    first, last = chosen[0][0], chosen[-1][1]
+    return first + int(np.flatnonzero(length[first:])[0]), last
+
+
 def main_text(page: str) -> str:
     """The article of an HTML page, a line for each block.
 
@@ -284,19 +377,26 @@ def main_text(page: str) -> str:
 
 
 def _main_text(lines: Lines) -> str:
-    if not lines.text:
+    length, form = np.array(lines.length, dtype=np.int64), np.array(lines.form, dtype=bool)
+    if not len(length):
         return ""
-    length = np.array(lines.length, dtype=np.int64)
-    inside = np.array(lines.named, dtype=bool)
-    named = bool((length[inside] > 0).any())
-    if named:
-        length[~inside] = 0
-    found = stretches(length)
-    if not found:
+    apart = length[form].sum() <= length[~form].sum()
+    shown = ~form if apart else np.ones(len(form), dtype=bool)
+    named = np.array(lines.named, dtype=bool) & shown
+    if (length[named] > 0).any():
+        return "\n".join(t for t, inside in zip(lines.text, named, strict=True) if inside)
+    told = np.flatnonzero(shown & (length > 0))
+    if not len(told):
         return ""
-    first, last = found[0][0], found[-1][1]
-    first += int(np.flatnonzero(length[first:])[0])  # the window's first line of text
-    return "\n".join(t for t, i in zip(lines.text[first:last], inside[first:last], strict=True) if t and (i or not named))
+    # Lines of text with the empty lines before them; those before lines left out count, too.
+    before = np.cumsum(lines.gap_outside if apart else lines.gap)[told]
+    place = np.cumsum(np.minimum(np.diff(before, prepend=before[0]), WINDOW) + 1) - 1
+    spaced = np.zeros(place[-1] + 1, dtype=np.int64)
+    spaced[place] = length[told]
+    first, last = surging(spaced, WINDOW, SURGE)
+    first, last = told[np.searchsorted(place, first)], told[np.searchsorted(place, last) - 1]
+    titles = np.flatnonzero(np.array(lines.title[:first], dtype=bool) & shown[:first])
+    return "\n".join(lines.text[k] for k in range(titles[-1] if len(titles) else first, last + 1) if shown[k])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
