@@ -67,3 +67,24 @@ def test_features():
     X_SLICE, X.SLICE = X.SLICE, 1000  # slices make no difference
     assert [round(a, 9) for a in scanner.features(text)] == [round(a, 9) for a in whole]
     X.SLICE = X_SLICE
+
+
+def test_slices_make_no_difference_wherever_words_stand(monkeypatch):
+    scanner = X.Scanner(X.Lexicon({"idiot": 3.0}))
+    for before in range(0, 40):
+        for text in ("a " * before + "you idiot", "a " * before + "idiot b c you", "a " * before + "idiot " + "b " * 4 + "you " + "c " * 30):
+            found = []
+            for size in (1, 2, 7, 10, 1000):
+                monkeypatch.setattr(X, "SLICE", size)
+                scanner.clear()
+                found.append([round(x, 9) for x in scanner.features(text)])
+            assert all(f == found[0] for f in found) and dict(zip(X.FEATURES, found[0]))["near_second_person"] > 0, (before, text)
+
+
+def test_one_weighted_row_a_margin_gives_the_same_curve(spark):
+    rows = spark.createDataFrame([(k % 7 / 7, float((k * k) % 5 < k % 7)) for k in range(400)], "margin double, toxic double")
+    grouped = rows.groupBy("margin").agg(X.F.avg("toxic").alias("toxic"), X.F.count(X.F.lit(1)).cast("double").alias("texts"))
+    plain = X.IsotonicRegression(featuresCol="margin", labelCol="toxic").fit(rows)
+    weighted = X.IsotonicRegression(featuresCol="margin", labelCol="toxic", weightCol="texts").fit(grouped)
+    for at in (-1.0, 0.0, 0.1, 0.3, 0.5, 0.77, 1.0):
+        assert abs(plain.predict(at) - weighted.predict(at)) < 1e-9

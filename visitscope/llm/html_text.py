@@ -322,7 +322,7 @@ class Lines:
             return
         if opened.apart:
             del self._held[self._mark or 0:]
-            self._mark = None
+            self._mark = 0  # what follows is apart, until the part ends
         text = " ".join(html.unescape("".join(self._held)).split())
         if text:
             tag, name, around = block = opened.innermost()

@@ -147,7 +147,7 @@ class Scanner(dict):
                 top = max(top, float(own[hit, 0].max()))
                 distinct.update(tokens[at + i] for i in hit.tolist())
                 hits.append(hit + at)
-                second.append(np.flatnonzero(own[:, 2]) + at)
+            second.append(np.flatnonzero(own[:, 2]) + at)  # also without a hit: one may stand beyond the slice's edge
         sums = dict(zip(COLUMNS, total.tolist(), strict=True))
         near = 0
         if hits:
@@ -249,9 +249,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                           subsamplingRate=1.0, seed=seed).fit(rows.where(fitted).repartition(2, "doc_id").sortWithinPartitions("doc_id"))
     calibration = None
     if all(classes.get((True, k)) for k in (0, 1)):
-        margins = trees.transform(rows.where(~fitted)).select(
-            vector_to_array("rawPrediction")[1].alias("margin"), F.col("toxic").cast("double").alias("toxic"))
-        calibration = IsotonicRegression(featuresCol="margin", labelCol="toxic", predictionCol="calibrated").fit(margins)
+        # One weighted row for each margin, as many texts share one: the fit deals rows by margin.
+        margins = (trees.transform(rows.where(~fitted)).select(vector_to_array("rawPrediction")[1].alias("margin"), "toxic")
+                   .groupBy("margin").agg(F.avg("toxic").alias("toxic"), F.count(F.lit(1)).cast("double").alias("texts")))
+        calibration = IsotonicRegression(featuresCol="margin", labelCol="toxic", weightCol="texts", predictionCol="calibrated").fit(margins)
     return Model(lexicon, trees, calibration)
 
 
