@@ -194,4 +194,71 @@ FROM d JOIN i ON d.shingle = i.shingle AND d.n = i.n JOIN q ON q.item_id = i.ite
 GROUP BY doc_id, q.item_id HAVING count(*) >= 0.8 * any_value(n_shingles)
 """
 
-ORACLE = {"op10_decontamination": _OP10_SQL, "op11_hard_negatives": _OP11_SQL, "op5_preference_format": _OP5_SQL, "op7_warc": _OP7_SQL}
+_OP13_SQL = r"""
+WITH RECURSIVE
+c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+crc AS (  -- CRC-32, a bit at a time
+  SELECT *, xor(list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(name, ''), lambda h: ord(h)::BIGINT)),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+             lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 20 AS fault
+  FROM c),
+d AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM crc WHERE fault <> 0),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+         left(role, 1) AS initial
+  FROM d),
+r AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault
+  FROM n),
+-- States: 0 nothing yet, 1 after s, 2 after u, 3 after a. Up to two made-up turns lead from one to another.
+made(st, mid, k, lines) AS (VALUES
+  (0, 0, 0, NULL), (0, 2, 1, 'user:'), (0, 3, 2, 'user:' || chr(10) || 'assistant:'),
+  (1, 1, 0, NULL), (1, 2, 1, 'user:'), (1, 3, 2, 'user:' || chr(10) || 'assistant:'),
+  (2, 2, 0, NULL), (2, 3, 1, 'assistant:'), (2, 2, 2, 'assistant:' || chr(10) || 'user:'),
+  (3, 3, 0, NULL), (3, 2, 1, 'user:'), (3, 3, 2, 'user:' || chr(10) || 'assistant:')),
+fits(mid, initial, after) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+w(conv_id, i, st, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'lines': ''} FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, st, min({'cost': cost, 'audit': audit, 'lines': lines})
+  FROM (
+    SELECT w.conv_id, r.i, CASE e.edit WHEN 'D' THEN m.mid WHEN 'K' THEN f.after WHEN 'R' THEN CASE WHEN m.mid = 2 THEN 3 ELSE 2 END END AS st,
+           w.best.cost + 2 * m.k + CASE e.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+             + CASE WHEN e.edit <> 'D' AND r.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+           w.best.audit || repeat('I', m.k) || e.edit AS audit,
+           concat_ws(chr(10), nullif(w.best.lines, ''), m.lines, CASE e.edit WHEN 'K' THEN r.role || ':' || r.text
+             WHEN 'R' THEN CASE WHEN m.mid = 2 THEN 'assistant:' ELSE 'user:' END || r.text END) AS lines
+    FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+      JOIN made m ON m.st = w.st
+      JOIN (VALUES ('D'), ('K'), ('R')) e(edit) ON e.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate')
+      LEFT JOIN fits f ON f.mid = m.mid AND f.initial = r.initial
+    WHERE e.edit <> 'K' OR f.after IS NOT NULL)
+  GROUP BY conv_id, i, st),
+q AS (
+  SELECT conv_id, count(role) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, role, turn, fault, pair FROM r
+        UNION ALL SELECT DISTINCT conv_id, NULL, NULL, NULL, NULL FROM conversations)
+  GROUP BY conv_id)
+SELECT q.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit, sha256(best.lines) AS repaired_sha256
+FROM q JOIN (
+  SELECT w.conv_id, w.i, min({'cost': best.cost + 2 * m.k, 'audit': best.audit || repeat('I', m.k),
+                              'lines': concat_ws(chr(10), nullif(best.lines, ''), m.lines)}) AS best
+  FROM w JOIN made m ON m.st = w.st WHERE m.mid IN (0, 3) GROUP BY w.conv_id, w.i) x
+ON x.conv_id IS NOT DISTINCT FROM q.conv_id AND x.i = q.n
+"""
+
+ORACLE = {"op13_conversation_repair": _OP13_SQL,
+          "op10_decontamination": _OP10_SQL, "op11_hard_negatives": _OP11_SQL, "op5_preference_format": _OP5_SQL, "op7_warc": _OP7_SQL}
