@@ -10,8 +10,13 @@ Documents that meet a sketch are verified by exact containment of shingles.
 Words are lower case, runs of other than space and 0x09-0x0D. An item of
 fewer than five words has one shingle of all its words.
 
-The benchmark is a stated query set and is held against all documents in
-blocks of at most `BLOCK_BYTES` of text, each of which reads them once.
+On Spark: items, their sketches and the texts that meet one are written tables.
+A bitmap of at most `FILTER_BITS` bits over the sketch hashes, which is all of
+the benchmark that reaches the driver and every worker, tells most shingles of a
+document apart in one map over the texts. Hashes that pass are joined to the
+sketch table, so what the bitmap lets through by chance falls away; Spark
+splits a hash that very many documents hold. Candidate pairs bring each
+document and its items together, one item at a time, for the exact check.
 
 Defined results: an item without words (null, empty) matches nothing; items
 that repeat are reported each; a null id of an item or a document is reported
@@ -22,19 +27,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, text_or_empty, texts
+from .common import map_batches, small_batches, staged, text_or_empty, texts
 from .wordhash import ngrams, pieces, words_of
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BLOCK_BYTES = 16 << 20
+FILTER_BITS = 1 << 27   # 16 MB, whatever the benchmark's size
+BITS_A_HASH = 16
 CHUNK_BYTES = 2 << 20
 
 
@@ -43,140 +48,140 @@ def missing(size: int, share: float) -> int:
     return size - math.ceil(share * size - 1e-9)
 
 
-@dataclass
-class Lookup:
-    """Sorted hashes with the rows they stand for, and a bitmap that rejects most others."""
-
-    hashes: np.ndarray
-    rows: np.ndarray
-    bitmap: np.ndarray
-
-    @classmethod
-    def of(cls, hashes: np.ndarray, rows: np.ndarray) -> Lookup:
-        order = np.argsort(hashes, kind="stable")
-        bits = max(12, min(27, int(8 * max(1, len(hashes))).bit_length()))
-        bitmap = np.zeros(1 << bits, dtype=bool)
-        bitmap[hashes & np.uint64(len(bitmap) - 1)] = True
-        return cls(hashes[order], rows[order], bitmap)
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position in `hashes`, row) of every match."""
-        maybe = np.flatnonzero(self.bitmap[hashes & np.uint64(len(self.bitmap) - 1)])
-        lo = np.searchsorted(self.hashes, hashes[maybe], side="left")
-        n = np.searchsorted(self.hashes, hashes[maybe], side="right") - lo
-        at = np.repeat(maybe, n)
-        nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-        return at, self.rows[np.repeat(lo, n) + nth]
-
-
-class ItemIndex:
-    """Sketches and shingles of a block of test items."""
-
-    def __init__(self, items: list[tuple[int | None, str]], share: float = CONTAINMENT, shingle: int = SHINGLE):
-        self.ids, self.sizes, self.share = [], [], share
-        self.shingles: list[tuple[bytes, ...]] = []          # distinct shingles of the block
-        self.owners: list[list[int]] = []                    # the items that have each
-        number: dict[tuple[bytes, ...], int] = {}
-        sketches: dict[int, list[tuple[int, int]]] = {}      # by words in a shingle: (hash, item)
-        known: dict[int, list[tuple[int, int]]] = {}         # by words in a shingle: (hash, shingle)
-        for item_id, text in items:
-            data = text.lower().encode()
-            words = data.split()
-            if not words:
-                continue
-            item, n = len(self.ids), min(shingle, len(words))
-            hashes = ngrams(words_of([data]).hashes, n).tolist()
-            own = {tuple(words[i:i + n]): h for i, h in enumerate(hashes)}
-            self.ids.append(item_id)
-            self.sizes.append(len(own))
-            for key, h in own.items():
-                if key not in number:
-                    number[key] = len(self.shingles)
-                    self.shingles.append(key)
-                    self.owners.append([])
-                    known.setdefault(n, []).append((h, number[key]))
-                self.owners[number[key]].append(item)
-            largest = (1 << len(own).bit_length()) - 1
-            for h in sorted(set(own.values()))[:missing(largest, share) + 1]:
-                sketches.setdefault(n, []).append((h, item))
-        self.sketches = {n: self._lookup(rows) for n, rows in sketches.items()}
-        self.known = {n: self._lookup(rows) for n, rows in known.items()}
-
-    @staticmethod
-    def _lookup(rows: list[tuple[int, int]]) -> Lookup:
-        return Lookup.of(np.array([h for h, _ in rows], dtype=np.uint64), np.array([r for _, r in rows], dtype=np.int64))
-
-    def search(self, batch: list[bytes]) -> Iterator[tuple[int, int, int]]:
-        """(text, item, shared shingles) of every text that contains the demanded share of an item."""
-        words = words_of(batch)
-        candidates: dict[int, set[int]] = {}
-        grams = {n: ngrams(words.hashes, n) for n in self.sketches}
-        for n, sketch in self.sketches.items():
-            at, items = sketch.find(grams[n])
-            text = np.searchsorted(words.first, at, side="right") - 1
-            whole = at + n <= words.first[text + 1]
-            for t, i in set(zip(text[whole].tolist(), items[whole].tolist(), strict=True)):
-                candidates.setdefault(t, set()).add(i)
-        for t, items in sorted(candidates.items()):
-            first, end = int(words.first[t]), int(words.first[t + 1])
-            held: set[int] = set()
-            for n, known in self.known.items():
-                at, shingle = known.find(grams[n][first:max(first, end - n + 1)])
-                for p, s in zip((at + first).tolist(), shingle.tolist(), strict=True):
-                    if s not in held and all(
-                            words.data[words.begins[p + k]:words.ends[p + k]] == w for k, w in enumerate(self.shingles[s])):
-                        held.add(s)
-            shared = dict.fromkeys(items, 0)
-            for s in held:
-                for i in self.owners[s]:
-                    if i in shared:
-                        shared[i] += 1
-            for i, n in sorted(shared.items()):
-                if n >= self.sizes[i] - missing(self.sizes[i], self.share):
-                    yield t, i, n
-
-
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[int | None, str]]]:
-    rows = benchmark.select(F.col(id_col).cast("long"), text_or_empty(text_col)).toLocalIterator(prefetchPartitions=True)
-    block, size = [], 0
-    for item_id, text in rows:
-        if block and size + len(text) > most:
-            yield block
-            block, size = [], 0
-        block.append((item_id, text))
-        size += len(text) + 64
-    yield block
+def words_in(text: str) -> list[bytes]:
+    return text.lower().encode().split()
+
+
+def distinct_shingles(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
+    return {tuple(words[k:k + n]) for k in range(len(words) - n + 1)} if n else set()
+
+
+def sketch(text: str, share: float = CONTAINMENT, shingle: int = SHINGLE) -> tuple[int, int, list[int]]:
+    """(words of a shingle, distinct shingles, least hashes) of an item; a longer sketch for a larger class of sizes."""
+    data = text.lower().encode()
+    words = data.split()
+    n = min(shingle, len(words))
+    if not n:
+        return 0, 0, []
+    size = len(distinct_shingles(words, n))
+    largest = (1 << size.bit_length()) - 1
+    hashes = np.unique(ngrams(words_of([data]).hashes, n))
+    return n, size, hashes[:missing(largest, share) + 1].view(np.int64).tolist()
+
+
+def _sketch_table(items: DataFrame, share: float) -> DataFrame:
+    """(item, n, size_class, hash): every sketch hash of every item."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for item, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
+            n, size, hashes = sketch(text, share)
+            rows += [(item, n, size.bit_length(), h) for h in hashes]
+        item, n, size_class, hashes = zip(*rows, strict=True) if rows else ((), (), (), ())
+        return pa.record_batch([pa.array(item, pa.int64()), pa.array(n, pa.int32()), pa.array(size_class, pa.int32()),
+                                pa.array(hashes, pa.int64())], names=["item", "n", "size_class", "hash"])
+
+    return staged(map_batches(items.select("item", "text"), run, "item long, n int, size_class int, hash long"), "sketches")
+
+
+class Bitmap:
+    """Which hashes may be in a table: one bit for each value of their last bits."""
+
+    def __init__(self, sketches: DataFrame, hashes: int, most: int):
+        self.bits = max(64, min(most, 1 << (BITS_A_HASH * max(1, hashes)).bit_length()))
+        place = F.col("hash").bitwiseAND(F.lit(self.bits - 1))
+        # At most one row for 64 bits comes to the driver.
+        held = (sketches.select((place / 64).cast("long").alias("word"), F.expr("shiftleft(1L, CAST(hash & 63 AS INT))").alias("bit"))
+                .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+        self.words = np.zeros(self.bits // 64, dtype=np.uint64)
+        self.words[held.column("word").to_numpy()] = held.column("bits").to_numpy().view(np.uint64)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes & np.uint64(self.bits - 1)
+        return (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _hits(batch: list[bytes], bitmap: Bitmap, sizes: list[int]) -> dict[int, list[tuple[int, int]]]:
+    """By text, the distinct (words of a shingle, hash) that may be in a sketch."""
+    words, found = words_of(batch), {}
+    for n in sizes:
+        grams = ngrams(words.hashes, n)
+        at = np.flatnonzero(bitmap.may_hold(grams))
+        text = np.searchsorted(words.first, at, side="right") - 1
+        whole = at + n <= words.first[text + 1]
+        for t, h in sorted(set(zip(text[whole].tolist(), grams[at[whole]].view(np.int64).tolist(), strict=True))):
+            found.setdefault(t, []).append((n, h))
+    return found
+
+
+def _near_texts(rows: DataFrame, bitmap, sizes: list[int]) -> DataFrame:
+    """(doc, doc_id, text, hits): the texts with a shingle that may be in a sketch, numbered by the written table."""
+    schema = "doc long, doc_id long, text string, hits array<struct<n:int,hash:long>>"
+    hit = pa.list_(pa.struct([("n", pa.int32()), ("hash", pa.int64())]))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = bitmap.value
+        at, hits = [], []
+        for begin, part in pieces([t.lower().encode() for t in texts(batch.column("text"))], CHUNK_BYTES):
+            for t, found in sorted(_hits(part, held, sizes).items()):
+                at.append(begin + t)
+                hits.append([{"n": n, "hash": h} for n, h in found])
+        kept = batch.take(pa.array(at, pa.int64()))
+        return pa.record_batch([*kept.columns, pa.array(hits, hit)], names=[*kept.schema.names, "hits"])
+
+    return staged(map_batches(rows.withColumn("doc", F.monotonically_increasing_id()).select("doc", "doc_id", "text"), run, schema),
+                  "near-texts")
+
+
+def _verify(share: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one document after another: the document, then its items."""
+        doc, doc_id, words, held = None, None, [], {}
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if row["item"] is None:
+                    doc, doc_id, words, held = row["doc"], row["id"], words_in(row["text"]), {}
+                    continue
+                if row["doc"] != doc:
+                    raise RuntimeError("an item without its document")
+                own = words_in(row["text"])
+                n = min(SHINGLE, len(own))
+                shingles = distinct_shingles(own, n)
+                if n not in held:
+                    held[n] = distinct_shingles(words, n)
+                shared = len(shingles & held[n])
+                if shared >= len(shingles) - missing(len(shingles), share):
+                    out.append((doc_id, row["id"], shared, len(shingles), shared / len(shingles)))
+            if out:
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                      names=["doc_id", "item_id", "n_shared", "n_shingles", "containment"])
+
+    return run
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, share: float = CONTAINMENT, id_col: str = "doc_id",
                text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment) of every document that contains `share` of an item."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     schema = "doc_id long, item_id long, n_shared long, n_shingles long, containment double"
-    found = None
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        index = spark.sparkContext.broadcast(ItemIndex(items, share))
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            items = index.value
-            for batch in batches:
-                ids, out = batch.column(0), []
-                for at, part in pieces([t.lower().encode() for t in texts(batch.column(1))], CHUNK_BYTES):
-                    out += [(at + t, i, n) for t, i, n in items.search(part)]
-                if out:
-                    row, item, n = (list(x) for x in zip(*out, strict=True))
-                    sizes = [items.sizes[i] for i in item]
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(row)), pa.array([items.ids[i] for i in item], pa.int64()), pa.array(n, pa.int64()),
-                         pa.array(sizes, pa.int64()), pa.array([a / b for a, b in zip(n, sizes, strict=True)])],
-                        names=["doc_id", "item_id", "n_shared", "n_shingles", "containment"])
-
-        part = rows.mapInArrow(run, schema)
-        found = part if found is None else found.unionAll(part)
-    return found
+    items = staged(benchmark.select(F.monotonically_increasing_id().alias("item"), F.col(item_col).cast("long").alias("item_id"),
+                                    text_or_empty(item_text_col).alias("text")), "items")
+    sketches = _sketch_table(items, share)
+    held = sketches.agg(F.count(F.lit(1)).alias("hashes"), F.sort_array(F.collect_set("n")).alias("sizes")).first()
+    if not held["hashes"]:
+        return spark.createDataFrame([], schema)
+    bitmap = spark.sparkContext.broadcast(Bitmap(sketches, held["hashes"], filter_bits))
+    near = _near_texts(rows, bitmap, held["sizes"])
+    met = near.select("doc", F.inline("hits"))
+    pairs = met.join(sketches, ["n", "hash"]).select("doc", "item").distinct()
+    asked = pairs.join(items, "item").select("doc", "item", F.col("item_id").alias("id"), "text")
+    shown = near.select("doc", F.lit(None).cast("long").alias("item"), F.col("doc_id").alias("id"), "text")
+    together = shown.unionByName(asked).repartition("doc").sortWithinPartitions("doc", F.col("item").asc_nulls_first())
+    return together.mapInArrow(_verify(share), schema)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = CONTAINMENT, id_col: str = "doc_id",
