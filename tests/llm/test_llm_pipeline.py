@@ -76,3 +76,23 @@ def test_entry_stands_without_the_operators(missing):
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
     assert (out[1] == "True") is not missing
+
+
+def test_tables_of_finished_stages_are_dropped(spark):
+    import glob
+
+    from visitscope.llm.common import shared_dir, staging
+
+    def twice(spark, docs, sf_dir):
+        once = staged(docs.where("doc_id % 2 = 0"), "twice")
+        return once.unionAll(once)
+
+    def last(spark, docs, sf_dir):
+        return docs.where("doc_id < 50")
+
+    folder = shared_dir(spark).removeprefix("file:") + "/visitscope/*"
+    before = set(glob.glob(folder))
+    with staging() as written:
+        out = run_stages(spark, SF, [("a", twice), ("b", twice), ("c", last)])
+    assert len(written) == 4 and out.count() == 4 * 25
+    assert {p.removeprefix("file:") for p in written[-1:]} == set(glob.glob(folder)) - before

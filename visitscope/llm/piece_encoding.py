@@ -160,6 +160,24 @@ class Normalizer:
         return bytes(out), [*origin, at]
 
 
+class Growing:
+    """A column of numbers that grows at its end; room doubles, so adding copies little. `data` may be longer than `size`."""
+
+    def __init__(self) -> None:
+        self.data, self.size = np.zeros(1024, np.int64), 0
+
+    def extend(self, values) -> None:
+        new = np.asarray(values, np.int64)
+        end = self.size + len(new)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data[:self.size], np.zeros(max(end, 2 * len(self.data)) - self.size, np.int64)])
+        self.data[self.size:end] = new
+        self.size = end
+
+    def __len__(self) -> int:
+        return self.size
+
+
 class PieceEncoder:
     """One model, loaded once per Python worker."""
 
@@ -201,16 +219,17 @@ class PieceEncoder:
         return [origin[c] for c in cuts]
 
     def _forget(self) -> None:
-        none = np.zeros(0, np.int64)
         self._row: dict[str, int] = {}
         # Of words: first piece, number of pieces, bytes. Of pieces: id, span from the word's first byte; its space is at -1.
-        self._first = self._count = self._bytes = none
-        self._id = self._begin = self._end = none
+        self._first, self._count, self._bytes = Growing(), Growing(), Growing()
+        self._id, self._begin, self._end = Growing(), Growing(), Growing()
 
     def _keep(self, words: int, pieces: int) -> None:
         """Cuts the memory's columns to the first words and pieces."""
-        self._first, self._count, self._bytes = (c[:words].copy() for c in (self._first, self._count, self._bytes))
-        self._id, self._begin, self._end = (c[:pieces].copy() for c in (self._id, self._begin, self._end))
+        for column in (self._first, self._count, self._bytes):
+            column.size = words
+        for column in (self._id, self._begin, self._end):
+            column.size = pieces
 
     def _learn(self, words: list[str]) -> None:
         """Ids and spans of words as they stand after one space, added to the memory."""
@@ -226,22 +245,22 @@ class PieceEncoder:
             held += ids
             begins += edges[:-1]
             ends += edges[1:]
-        rows = len(self._count)
+        rows = self._count.size
         self._row.update(zip(words, range(rows, rows + len(words)), strict=True))
-        first = len(self._id) + np.cumsum([0, *count[:-1]])
-        for name, new in (("_first", first), ("_count", count), ("_bytes", [len(w.encode()) for w in words]),
-                          ("_id", held), ("_begin", begins), ("_end", ends)):
-            setattr(self, name, np.concatenate([getattr(self, name), np.array(new, np.int64)]))
+        first = self._id.size + np.cumsum([0, *count[:-1]])
+        for column, new in ((self._first, first), (self._count, count), (self._bytes, [len(w.encode()) for w in words]),
+                            (self._id, held), (self._begin, begins), (self._end, ends)):
+            column.extend(new)
 
     def _placed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """`encode` of remembered words with a space between each two."""
         rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
-        count, size = self._count[rows], self._bytes[rows]
+        count, size = self._count.data[rows], self._bytes.data[rows]
         upto = np.cumsum(count)
-        at = np.arange(upto[-1]) + np.repeat(self._first[rows] - (upto - count), count)
+        at = np.arange(upto[-1]) + np.repeat(self._first.data[rows] - (upto - count), count)
         shift = np.repeat(np.cumsum(size + 1) - size - 1, count)
         # The first word's space is not in the text.
-        return self._id[at], np.maximum(self._begin[at] + shift, 0), np.maximum(self._end[at] + shift, 0)
+        return self._id.data[at], np.maximum(self._begin.data[at] + shift, 0), np.maximum(self._end.data[at] + shift, 0)
 
     def encode_all(self, batch: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """`encode` of every text."""
@@ -258,7 +277,7 @@ class PieceEncoder:
         long = [w for w in fresh if len(w) > LONGEST_REMEMBERED]
         if len(fresh) > len(long):
             self._learn([w for w in fresh if len(w) <= LONGEST_REMEMBERED])
-        kept = len(self._count), len(self._id)
+        kept = self._count.size, self._id.size
         if long:
             self._learn(long)
         for text, words in zip(batch, split, strict=True):

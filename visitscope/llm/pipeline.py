@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontamination, piece_encoding, simhash, substring_dedup, toxicity
 from .catalog import PIECE_MODEL, tokenizer_path
-from .common import read_table, staged
+from .common import drop_staged, read_table, staged, staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -47,9 +47,13 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run_stages(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages one after another over `documents`; once a stage's table is written, what only it has read is dropped."""
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for k, (_, stage) in enumerate(stages):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(stages):
-            docs = staged(docs, f"pipeline-{k + 1}")
+        if k + 1 == len(stages):
+            return stage(spark, docs, sf_dir)
+        with staging() as written:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{k + 1}")
+        drop_staged(spark, [*before, *written[:-1]])
+        before = written[-1:]
     return docs
