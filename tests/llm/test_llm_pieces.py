@@ -40,7 +40,7 @@ def test_digests_come_from_ids_and_spans(monkeypatch):
     monkeypatch.setattr(enc, "sp", type("Spy", (), {"encode": enc.sp.encode, "decode": lambda self, ids: decoded.append(ids) or "spied"})())
     found = enc.digests(["the cat", ""])
     assert len(decoded) == 1 and found[0][2] == hashlib.sha256(b"spied").hexdigest()
-    enc._end = enc._end + 1
+    enc._end.data += 1
     with pytest.raises(ValueError, match="spans"):
         enc.digests(["the cat"])
 
