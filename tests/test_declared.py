@@ -207,6 +207,8 @@ def test_results_of_other_tasks_stay(spark, tmp_path):
     run(1, 10)
     run(2, 21)
     assert sorted(map(tuple, read_task_results(spark, path).collect())) == [("a", 10, 1), ("a", 21, 2), ("b", 10, 1), ("b", 21, 2)]
+    write_task_result(spark.createDataFrame([], "metric string, cnt long"), path, 2)  # a run without rows leaves none
+    assert sorted(map(tuple, read_task_results(spark, path).collect())) == [("a", 10, 1), ("b", 10, 1)]
 
 
 def test_cli_keeps_results_of_two_tasks_and_writes_details(spark, tmp_path, capsys):

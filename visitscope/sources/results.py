@@ -7,20 +7,17 @@ earlier tasks stay and a repeated task leaves its rows once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TASK_ID = "task_id"
 
 
 def write_task_result(result: DataFrame, path: str, task_id: int) -> None:
-    """Store `result` as the rows of `task_id` under `path`.
+    """Store `result` as the rows of `task_id` under `path`, in place of what an earlier run of the task left there.
 
-    Dynamic partition overwrite replaces exactly the partitions that are
-    written. A result without rows writes no partition, so what an earlier run
-    of the task left would stay; the counters always have rows.
+    The task is known before the write, so its partition's folder is overwritten
+    as a whole; a result without rows empties it.
     """
-    named = result.withColumn(TASK_ID, F.lit(int(task_id)).cast("bigint"))
-    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TASK_ID).parquet(path)
+    result.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{TASK_ID}={int(task_id)}")
 
 
 def read_task_results(spark: SparkSession, path: str, schema: str = "metric string, cnt bigint") -> DataFrame:
