@@ -25,6 +25,14 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# Settings that must stand when the session starts.
+START_CONF = {
+    # PySpark otherwise asks the JVM for a setting and walks the Python stack at every
+    # column function, so that errors can name the line: a good part of the time that it
+    # takes to build a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
@@ -45,7 +53,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     if warehouse_dir:
         builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
-    for key, value in RUNTIME_CONF.items():
+    for key, value in (RUNTIME_CONF | START_CONF).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
