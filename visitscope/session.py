@@ -86,5 +86,9 @@ def shared_folder(spark: SparkSession) -> str:
     A local session without one gets a private folder; there driver and
     executors are one process.
     """
-    fallback = tempfile.mkdtemp(prefix="visitscope-") if spark.sparkContext.master.startswith("local") else None
-    return checkpoint_dir(spark, fallback).rstrip("/")
+    try:
+        return checkpoint_dir(spark).rstrip("/")
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        return checkpoint_dir(spark, tempfile.mkdtemp(prefix="visitscope-")).rstrip("/")
