@@ -55,3 +55,10 @@ def test_plan_is_native(spark):
     plan = op5_preference_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
     assert "op5_preference_format" in ORACLE
+
+
+def test_long_conversations(spark):
+    rows = [(0, t, "assistant" if t % 3 else "user", "w" * (t % 11)) for t in range(64 * 50 + 7)] + [(1, t, "user", "q") for t in range(64)]
+    found = P.format_pairs(P.neighbour_pairs(spark.createDataFrame([(*r, 1, "x") for r in rows], TURNS))).collect()
+    assert [(r.prefix_turns, r.prompt, r.chosen, [tuple(s) for s in r.chosen_spans], r.rejected, [tuple(s) for s in r.rejected_spans])
+            for r in found] == [brute(rows)[0]]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 # Fixed values of the chat template.
 START, END = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
+BLOCK = 64  # turns whose spans are gathered in one fold
 
 
 def _rendered(turns: Column) -> Column:
@@ -32,19 +33,33 @@ def _rendered(turns: Column) -> Column:
 
 
 def _spans(turns: Column) -> Column:
-    """[begin, end) of each trained stretch in the joined text of `turns`, in characters."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<begin:long,end:long>>").alias("spans"))
+    """[begin, end) of each trained stretch in the joined text of `turns`, in characters.
+
+    A fold copies the spans it has at every turn, so it runs over `BLOCK` turns
+    at a time, and a second one over the blocks moves theirs to their place.
+    """
+    spans = "array<struct<begin:long,end:long>>"
+    n_blocks = F.ceil(F.size(turns) / BLOCK).cast("int")
+    numbers = F.when(n_blocks > 0, F.sequence(F.lit(0), n_blocks - 1)).otherwise(F.array().cast("array<int>"))
 
     def step(state: Column, t: Column) -> Column:
-        head = F.lit(len(START) + 1) + F.length(t["role"])
-        begin = state["at"] + head
+        begin = state["at"] + F.lit(len(START) + 1) + F.length(t["role"])
         end = begin + F.length(t["text"]) + F.lit(len(END))
         span = F.struct(begin.cast("long").alias("begin"), end.cast("long").alias("end"))
         return F.struct(end.cast("long").alias("at"),
                         F.when(t["role"] == TRAINED_ROLE, F.concat(state["spans"], F.array(span)))
                         .otherwise(state["spans"]).alias("spans"))
 
-    return F.aggregate(turns, start, step, lambda s: s["spans"])
+    def within(k: Column) -> Column:
+        empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(spans).alias("spans"))
+        return F.aggregate(F.slice(turns, k * BLOCK + 1, F.lit(BLOCK)), empty, step)
+
+    def moved(state: Column, block: Column) -> Column:
+        own = F.transform(block["spans"], lambda s: F.struct((s["begin"] + state["at"]).alias("begin"), (s["end"] + state["at"]).alias("end")))
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["blocks"], F.array(own)).alias("blocks"))
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{spans}>").alias("blocks"))
+    return F.flatten(F.aggregate(F.transform(numbers, within), start, moved, lambda s: s["blocks"]))
 
 
 def format_pairs(turns: DataFrame) -> DataFrame:
