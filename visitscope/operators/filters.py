@@ -119,7 +119,11 @@ def category_hit(spec: FilterSpec) -> Column | None:
     """This action clicked one of the task's categories (for `bool_or`, F6)."""
     if not spec.category_ids:
         return None
-    return F.col("click_category_id").isin(*_numbers(spec.category_ids))
+    numbers = _numbers(spec.category_ids)
+    if not numbers or max(map(abs, numbers)) >= 2**31:
+        return F.col("click_category_id").isin(*numbers)
+    # One call into the JVM for the whole list.
+    return F.expr(f"click_category_id IN ({', '.join(map(str, numbers))})")
 
 
 def _numbers(ids: tuple[str, ...]) -> list[int]:

@@ -43,11 +43,7 @@ def parse_task_params(tasks: DataFrame) -> DataFrame:
     """
     parsed = F.from_json(F.col("task_param"), TASK_PARAM_DDL)
     unpacked = tasks.select("task_id", "task_name", F.inline(F.array(parsed)))
-    return unpacked.select(
-        "task_id",
-        "task_name",
-        *[F.nullif(F.get(F.col(field), 0), F.lit("")).alias(col) for field, col in PARAM_COLUMNS.items()],
-    )
+    return unpacked.selectExpr("task_id", "task_name", *(f"nullif(get({field}, 0), '') AS {col}" for field, col in PARAM_COLUMNS.items()))
 
 
 @dataclass(frozen=True)

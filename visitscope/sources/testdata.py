@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sample import least_rows
@@ -75,6 +75,33 @@ def basket_actions(events: DataFrame) -> DataFrame:
         "CASE WHEN event_type = 'click' THEN k END AS click_category_id", _ORDER_LIST, _PAY_LIST)
 
 
+# One call into the JVM per column here, too.
+_START_DAY = "date_add(DATE'2024-01-01', CAST(c_custkey % 21 AS INT))"
+_AGE = "CAST(c_custkey % 60 AS INT)"
+_TASK_KEYWORDS = ", ".join(f"concat('kw', CAST((c_custkey + {step}) % 10 AS STRING))" for step in (0, 3, 6))
+_TASK_CATEGORIES = ", ".join(f"CAST((c_nationkey + {step}) % 100 AS STRING)" for step in range(0, 100, 10))
+_TASK_COLUMNS = [
+    "c_custkey AS task_id",
+    "concat('sessions like ', c_name) AS task_name",
+    "'2024-01-01 00:00:00' AS create_time",
+    "CAST(NULL AS STRING) AS start_time",
+    "CAST(NULL AS STRING) AS finish_time",
+    "'session' AS task_type",
+    "'created' AS task_status",
+    f"""to_json(struct(
+        array(date_format({_START_DAY}, 'yyyy-MM-dd')) AS startDate,
+        array(date_format(date_add({_START_DAY}, 6), 'yyyy-MM-dd')) AS endDate,
+        array(CAST(greatest({_AGE} - 15, 0) AS STRING)) AS startAge,
+        CASE WHEN c_acctbal >= 0 THEN array(CAST({_AGE} + 15 AS STRING)) END AS endAge,
+        array(c_mktsegment) AS professionals,
+        CASE WHEN c_acctbal > 5000 THEN array(n_name) END AS cities,
+        array(CASE WHEN c_mktsegment = 'MACHINERY' THEN '' WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END) AS sex,
+        CASE WHEN c_mktsegment != 'AUTOMOBILE' THEN array(concat_ws(',', {_TASK_KEYWORDS})) END AS keywords,
+        CASE WHEN c_mktsegment != 'BUILDING' THEN array(concat_ws(',', {_TASK_CATEGORIES})) END AS categoryIds
+    )) AS task_param""",
+]
+
+
 def actions_from_events(events: DataFrame, with_id: bool = False) -> DataFrame:
     """`user_visit_action` rows from `events` rows (columns as the typed schema), with the event's id if asked for.
 
@@ -180,40 +207,4 @@ class GeneratedSource:
         BUILDING for no categories, a negative balance gives only a start age
         (one-sided, so ignored), and MACHINERY sends an empty sex.
         """
-        cn = _customer_profile(self.spark, self.sf_dir)
-        key = F.col("c_custkey")
-        seg = F.col("c_mktsegment")
-        age = (key % 60).cast("int")
-        start_day = F.date_add(F.lit(dt.date(2024, 1, 1)), (key % 21).cast("int"))
-        end_day = F.date_add(start_day, 6)
-
-        def one(c: Column) -> Column:
-            return F.array(c.cast("string"))
-
-        keywords = F.concat_ws(",", *[F.concat(F.lit("kw"), ((key + step) % 10).cast("string"))
-                                      for step in (0, 3, 6)])
-        categories = F.concat_ws(",", *[((F.col("c_nationkey") + step) % 100).cast("string")
-                                        for step in range(0, 100, 10)])
-        param = F.struct(
-            one(F.date_format(start_day, "yyyy-MM-dd")).alias("startDate"),
-            one(F.date_format(end_day, "yyyy-MM-dd")).alias("endDate"),
-            one(F.greatest(age - 15, F.lit(0))).alias("startAge"),
-            F.when(F.col("c_acctbal") >= 0, one(age + 15)).alias("endAge"),
-            one(seg).alias("professionals"),
-            F.when(F.col("c_acctbal") > 5000, one(F.col("n_name"))).alias("cities"),
-            F.when(seg == "MACHINERY", one(F.lit("")))
-            .otherwise(one(F.when(key % 2 == 0, F.lit("male")).otherwise(F.lit("female"))))
-            .alias("sex"),
-            F.when(seg != "AUTOMOBILE", one(keywords)).alias("keywords"),
-            F.when(seg != "BUILDING", one(categories)).alias("categoryIds"),
-        )
-        return cn.select(
-            key.alias("task_id"),
-            F.concat(F.lit("sessions like "), F.col("c_name")).alias("task_name"),
-            F.lit("2024-01-01 00:00:00").alias("create_time"),
-            F.lit(None).cast("string").alias("start_time"),
-            F.lit(None).cast("string").alias("finish_time"),
-            F.lit("session").alias("task_type"),
-            F.lit("created").alias("task_status"),
-            F.to_json(param).alias("task_param"),
-        )
+        return _customer_profile(self.spark, self.sf_dir).selectExpr(*_TASK_COLUMNS)
