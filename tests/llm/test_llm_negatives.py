@@ -53,6 +53,13 @@ def test_many_shards_and_bundles(spark, monkeypatch, spread):
     assert answer(H.mine(H.quantised(df), every=50)) == brute(integers(rows), every=50)
 
 
+def test_long_vectors_make_small_shards(spark, monkeypatch):
+    monkeypatch.setattr(H, "NUMBERS", 320)
+    rows = random_rows(6, 200, 16)
+    sharded, shards = H._shards(H.quantised(spark.createDataFrame([(*r, "u", 1, "s") for r in rows], ROWS)))
+    assert shards >= 10 and max(r["count"] for r in sharded.groupBy("shard").count().collect()) <= 60
+
+
 def test_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(H, "SHARD", 16)
     rows = random_rows(2, 60, 3, labels=2)

@@ -13,7 +13,7 @@ or whose candidates all have the wrong label), and computes the score of every
 candidate it reaches as an exact integer.
 
 On Spark: rows are dealt to cells by the nearest of at most `CENTRES` centres
-(a sample by hash), cells over `SHARD` rows are split by a hash of the row, so
+(a sample by hash), cells over `SHARD` rows (fewer of long vectors) are split by a hash of the row, so
 a vector with very many copies is no hot group, and one tree is built for each
 shard and written to the shared folder. Trees are bundled (up to `BUNDLE` of
 them); anchors travel once to every bundle, sorted behind its trees, and stream
@@ -49,7 +49,8 @@ SHARD = 4096      # rows a tree is meant to hold
 LEAF = 256        # a node of no more candidates has them as children
 BASE = 1.3        # covering radii of two levels
 SPREAD = 64       # bundles hold more than one tree only beyond so many trees
-BUNDLE = 32       # most trees of a bundle
+BUNDLE = 16       # most trees of a bundle
+NUMBERS = 1 << 20  # components of a tree, about, where vectors are long
 LIMIT = 1 << 24   # largest integer component
 NO_SCORE = -(1 << 62)
 
@@ -246,9 +247,10 @@ def _cover(apart: np.ndarray, members: np.ndarray, centre: int, radius: float) -
 
 def _shards(rows: DataFrame) -> tuple[DataFrame, int]:
     """(uid, vec_id, label, vec binary, shard), written to the shared folder, and the number of shards."""
-    n = rows.count()
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
+    n, most = found["n"], max(1, min(SHARD, NUMBERS // max(1, found["width"] or 0)))
     sample = rows.select("vec", F.xxhash64("vec").alias("h")).orderBy("h").limit(CENTRES).collect()
-    few = min(CENTRES, max(1, -(-n // SHARD)))
+    few = min(CENTRES, max(1, -(-n // most)))
     vectors = list(dict.fromkeys(np.asarray(r["vec"], dtype="<i4").tobytes() for r in sample))[:few] or [b""]
     centres = _matrix(vectors)
 
@@ -268,7 +270,7 @@ def _shards(rows: DataFrame) -> tuple[DataFrame, int]:
                     .mapInArrow(deal, "uid long, vec_id long, label long, vec binary, cell int"), "vectors")
     parts = dict.fromkeys(range(len(centres)), 1)
     for cell, count in celled.groupBy("cell").count().collect():  # at most CENTRES rows
-        parts[cell] = -(-count // SHARD)
+        parts[cell] = -(-count // most)
     first = np.concatenate([[0], np.cumsum(list(parts.values()))]).tolist()
 
     def of(values: list[int]) -> Column:
