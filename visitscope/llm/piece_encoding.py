@@ -19,7 +19,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
-from itertools import accumulate, pairwise
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +78,13 @@ class CharMap:
             self.units = struct.unpack_from(f"<{size // 4}I", blob, 4)
             self.targets = blob[4 + size:]
 
+    def first_bytes(self) -> bytes:
+        """Bytes that some entry begins with."""
+        if not self.units:
+            return b""
+        root = (self.units[0] >> 10) << ((self.units[0] & 0x200) >> 6)
+        return bytes(b for b in range(256) if root ^ b < len(self.units) and self.units[root ^ b] & 0x800000FF == b)
+
     def longest(self, data: bytes, at: int) -> tuple[int, bytes] | None:
         """Length and replacement of the longest prefix of data[at:], if any."""
         if not self.units:
@@ -106,6 +113,8 @@ class Normalizer:
                  escape: bool = True):
         self.map = CharMap(charmap)
         self.dummy_prefix, self.squeeze, self.escape = dummy_prefix, squeeze, escape
+        # Characters that no entry begins with stand for themselves; runs of them are taken at once.
+        self._plain = re.compile(b"[^ " + b"".join(b"\\x%02x" % b for b in self.map.first_bytes()) + b"]+")
 
     @classmethod
     def of_model(cls, model: bytes) -> Normalizer:
@@ -142,6 +151,17 @@ class Normalizer:
             origin += [at] * len(space)
         after_space = self.squeeze
         while at < len(data):
+            if run := self._plain.match(data, at):
+                out += run[0]
+                if run[0].isascii():
+                    origin += range(at, run.end())
+                else:
+                    for here in range(at, run.end()):
+                        if data[here] & 0xC0 != 0x80:
+                            at = here
+                        origin.append(at)
+                at, after_space = run.end(), False
+                continue
             size, target = self._step(data, at)
             if after_space:
                 target = target.lstrip(b" ")
