@@ -39,7 +39,7 @@ from .wordhash import ngrams, pieces, words_of
 SHINGLE = 5
 CONTAINMENT = 0.8
 FILTER_BITS = 1 << 27   # 16 MB, whatever the benchmark's size
-BITS_A_HASH = 16
+BITS_A_HASH = 1 << 14  # so that few documents pass by chance
 CHUNK_BYTES = 2 << 20
 
 
